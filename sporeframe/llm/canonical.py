@@ -17,22 +17,22 @@ import unicodedata
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.missing import absent
+from ..session import Stages
 
 UNMATCHED = "unmatched"
 EDITS = 2
 
 #: Languages whose country names count as spellings.
-LANGUAGES = ("en", "de", "fr", "es", "pt", "it", "nl", "sv", "da", "nb", "fi", "pl", "cs", "sk", "hu", "ro", "tr", "hr", "sl", "lt", "et", "id", "vi", "ca", "gl", "af", "is", "ru", "uk", "el", "ja", "zh", "ko")
+LANGUAGES = ("en", "de", "fr", "es", "pt", "it", "nl", "sv", "da", "nb", "fi", "pl", "cs", "sk", "hu", "ro", "tr", "hr", "sl", "lt", "et", "id", "vi", "ca", "gl", "af", "is", "ru", "uk", "el", "ja", "zh", "zh-TW", "ko")
 #: Languages for the names of countries outside the list.
 OUTSIDE_LANGUAGES = ("en", "de", "fr", "es", "pt", "it")
 
 #: Former and informal names that no locale gives, by ISO code.
 FORMER = {
-    "northern rhodesia": "ZM", "british guiana": "GY", "guiana": "GY", "belgian congo": "CD", "french congo": "CG", "middle congo": "CG", "congo brazzaville": "CG",
+    "northern rhodesia": "ZM", "british guiana": "GY", "belgian congo": "CD", "french congo": "CG", "middle congo": "CG", "congo brazzaville": "CG",
     "congo kinshasa": "CD", "congo dem rep": "CD", "congo democratic republic": "CD", "congo rep": "CG", "congo republic": "CG", "rep congo": "CG", "d r congo": "CD", "drc": "CD",
     "persia": "IR", "abyssinia": "ET", "nyasaland": "MW", "french sudan": "ML", "french soudan": "ML", "dutch east indies": "ID", "netherlands east indies": "ID",
     "spanish guinea": "GQ", "french guinea": "GN", "guinea conakry": "GN", "guinee conakry": "GN", "korea rep": "KR", "rok": "KR", "s korea": "KR", "prc": "CN", "pr china": "CN", "mainland china": "CN",
@@ -41,6 +41,9 @@ FORMER = {
     "hellas": "GR", "helvetia": "CH", "lusitania": "PT", "new granada": "CO", "upper peru": "BO", "banda oriental": "UY", "hispania": "ES", "italia": "IT", "gallia": "FR", "germania": "DE", "sinae": "CN",
     "bohemia": "CZ", "moravia": "CZ", "annam": "VN", "tonkin": "VN", "cochinchina": "VN", "malaya": "MY", "sarawak": "MY", "gold coast": "GH", "ceylon": "LK", "burma": "MM", "rhodesia": "ZW", "southern rhodesia": "ZW",
     "upper volta": "BF", "dahomey": "BJ", "swaziland": "SZ", "bechuanaland": "BW", "basutoland": "LS", "south west africa": "NA", "tanganyika": "TZ", "british honduras": "BZ", "dutch guiana": "SR", "north korea": "KP", "korea dem rep": "KP", "portuguese guinea": "GW", "gambia": "GM", "ivory coast": "CI", "macedonia": "MK", "holland": "NL",
+    "brd": "DE", "bundesrepublik deutschland": "DE", "federal republic of germany": "DE", "grande bretagne": "GB", "grossbritannien": "GB", "gran bretana": "GB", "gra bretanha": "GB", "gran bretagna": "GB",
+    "rep dominicana": "DO", "republica portuguesa": "PT", "philippine islands": "PH", "the philippine islands": "PH", "islas filipinas": "PH", "repubblica italiana": "IT", "reino de espana": "ES", "konigreich schweden": "SE",
+    "dom republic": "DO", "malagasy republic": "MG", "rossija": "RU", "rossiya": "RU", "aust": "AU", "gt britain": "GB", "n zealand": "NZ", "s africa": "ZA", "eq guinea": "GQ", "fr guiana": "GF", "french guyana": "GF", "switz": "CH",
 }
 #: Names that hold a country's name but don't name it.
 BLOCKS = ("new mexico", "new england", "new south wales", "gulf of mexico", "gulf of guinea", "indian ocean", "indian territory", "sea of japan", "south china sea", "east china sea", "guinea ecuatorial", "peru indiana", "turkey creek", "new guinea", "british columbia", "district of columbia", "inner mongolia", "south georgia", "guinea pig", "china grove", "lebanon")
@@ -66,8 +69,7 @@ _FROM, _TO = _letters()
 
 def repaired(c: Column) -> Column:
     """Text that was UTF-8 read as a single-byte set, read again; anything else as it is."""
-    one = F.expr  # readability
-    x = F.when(
+    return F.when(
         c.rlike("[ÃÂÄÅâ][\\u0080-\\u00bf\\u2010-\\u2122ŒœŠšŽžŸƒˆ˜]"),
         F.coalesce(
             F.when(c.rlike("^[\\u0000-\\u00ff]*$"), F.try_validate_utf8(F.encode(c, "ISO-8859-1").cast("string"))),
@@ -75,16 +77,15 @@ def repaired(c: Column) -> Column:
             c,
         ),
     ).otherwise(c)
-    del one
-    return x
 
 
 def plain(c: Column) -> Column:
-    """Lower case without accents, quotes and dots; runs of single letters joined; one blank between words."""
+    """Lower case without accents, quotes and dots; runs of single letters joined, ``rep`` written out; one blank between words."""
     x = F.regexp_replace(F.translate(F.lower(c), _FROM, _TO), r"\p{M}+", "")
     x = F.regexp_replace(F.replace(F.replace(x, F.lit("ß"), F.lit("ss")), F.lit("æ"), F.lit("ae")), r"['’‘`´ʼ]", "")
     x = F.trim(F.regexp_replace(x, r"(?U)[^\p{L}\p{N}]+", " "))
-    return F.regexp_replace(x, r"(?<=(?:^| )\p{L}) (?=\p{L}(?: |$))", "")
+    x = F.regexp_replace(x, r"(?<=(?:^| )\p{L}) (?=\p{L}(?: |$))", "")
+    return F.regexp_replace(x, r"\brep\b", "republic")
 
 
 def locale_names(spark: SparkSession, codes: Iterable[str], languages: Sequence[str]) -> list[tuple[str, str]]:
@@ -92,7 +93,7 @@ def locale_names(spark: SparkSession, codes: Iterable[str], languages: Sequence[
     key = (tuple(codes), tuple(languages))
     if key not in _names:
         loc = spark._jvm.java.util.Locale
-        ls = [loc(x) for x in key[1]]
+        ls = [loc.forLanguageTag(x) for x in key[1]]
         _names[key] = [(c, n) for c in key[0] for n in dict.fromkeys(loc("", c).getDisplayCountry(x) for x in ls) if n and n != c]
     return _names[key]
 
@@ -124,7 +125,7 @@ def country_reference(spark: SparkSession, variants: DataFrame, places: DataFram
     best = ref.groupBy("key", "tier", "kind").agg(F.min("country").alias("country"), F.count_distinct(F.coalesce("country", F.lit(""))).alias("n"))
     # a key that means two countries on its best tier names none
     best = best.groupBy("key").agg(F.min_by(F.struct("kind", "country", "n"), F.struct("tier", "kind")).alias("b"))
-    return best.filter("b.n = 1").select("key", "b.kind", "b.country")
+    return Stages(spark, "reference").cut(best.filter("b.n = 1").select("key", "b.kind", "b.country"))
 
 
 def _segments(c: Column) -> Column:
@@ -149,6 +150,7 @@ def _grams(most: int = 7) -> Column:
             n.alias("n"),
             F.coalesce(F.get("words", i + n), F.lit("")).alias("next"),
             F.coalesce(F.get("words", i - 1), F.lit("")).alias("before"),
+            (F.forall(F.slice("words", 1, i), lambda w: w.isin(*QUALIFIERS)) & (i + n == size)).alias("full"),
         ),
     )
     return F.flatten(F.transform(F.sequence(F.lit(0), size - 1), one))
@@ -194,44 +196,48 @@ def map_countries(values: DataFrame, value: str, reference: DataFrame) -> DataFr
     lie in one country, exact before misspelt. If two countries are equally near, neither is taken.
     Absent values give no row; very long ones are read whole; ties have no other meaning than stated.
     """
-    v = values.select(F.col(value).alias("value")).filter(~absent("value")).distinct()
-    seg = v.select("value", F.posexplode(_segments(repaired(F.col("value")))).alias("pos", "s")).select("value", "pos", "s.text", "s.first")
-    whole = v.select("value", F.lit(-1).alias("pos"), plain(F.regexp_replace(repaired(F.col("value")), "_", " ")).alias("text"), F.lit(False).alias("first"))
-    seg = seg.withColumn("words", F.split("text", " "))
-    # whole values as one segment: "Congo, Rep.", "c o s t a  r i c a"
-    grams = seg.select("value", "pos", "first", F.size("words").alias("of"), F.explode(_grams()).alias("g")).select("value", "pos", "first", "of", "g.*")
-    grams = grams.union(whole.select("value", "pos", "first", F.lit(1), F.col("text"), F.lit(0), F.lit(1), F.lit(""), F.lit("")))
-    joined = reference.filter("kind in ('name', 'outside')").filter("key like '% %'").select(F.replace("key", F.lit(" ")).alias("key"), "kind", "country").dropDuplicates(["key"])
+    stages = Stages(values.sparkSession, "canonical")
+    v = stages.cut(values.select(F.col(value).alias("value")).filter(~absent("value")).distinct())
+    fixed = v.select("value", repaired(F.col("value")).alias("fixed"))
+    seg = fixed.select("value", F.posexplode(_segments(F.col("fixed"))).alias("pos", "s")).select("value", "pos", "s.text", "s.first")
+    # whole values as one more segment: "Congo, Rep.", "c o s t a  r i c a"
+    whole = fixed.select("value", F.lit(-1).alias("pos"), plain(F.replace("fixed", F.lit("_"), F.lit(" "))).alias("text"), F.lit(False).alias("first"))
+    seg = stages.cut(seg.union(whole))
+    parts = seg.filter("pos >= 0").withColumn("words", F.split("text", " "))
+    grams = parts.select("value", "pos", "first", F.size("words").alias("of"), F.explode(_grams()).alias("g")).select("value", "pos", "first", "of", "g.*")
+    grams = grams.union(seg.filter("pos < 0").select("value", "pos", "first", F.lit(1), F.col("text"), F.lit(0), F.lit(1), F.lit(""), F.lit(""), F.lit(True)))
+    joined = reference.filter("kind in ('name', 'outside') and key like '% %'").select(F.replace("key", F.lit(" "), F.lit("")).alias("key"), "kind", "country").dropDuplicates(["key"])
     ref = reference.unionByName(joined.join(reference, "key", "left_anti"))
-    hits = grams.join(ref, grams["gram"] == ref["key"]).drop("key")
-    full = (F.col("at") == 0) & (F.col("n") == F.col("of"))
-    ok = (F.col("kind") != "code") | full
-    ok &= ~F.col("kind").isin("name", "outside") | full | (~F.col("next").isin(*PLACE_WORDS) & (F.col("before") != "new"))
-    hits = hits.filter(ok).withColumn("full", full)
+    hits = stages.cut(grams.join(ref, grams["gram"] == ref["key"]).drop("key"))
+
+    ok = (F.col("kind") != "place") & ((F.col("kind") != "code") | (F.col("n") == F.col("of")))
+    ok &= ~F.col("kind").isin("name", "outside") | F.col("full") | (~F.col("next").isin(*PLACE_WORDS) & (F.col("before") != "new"))
     # in a segment the longest name stands, then the first
-    hits = hits.filter("kind <> 'place'").groupBy("value", "pos", "first").agg(F.max_by(F.struct("kind", "country", "full"), F.struct("n", (-F.col("at")).alias("a"))).alias("h")).select("value", "pos", "first", "h.*").filter("kind <> 'block'")
-    states = F.max(F.when(F.col("country") == "United States", F.col("country"))).over(W.partitionBy("value"))
-    hits = hits.withColumn("us", states).filter(~(F.col("country").eqNullSafe("Georgia") & F.col("us").isNotNull()))
+    names = hits.filter(ok).groupBy("value", "pos", "first").agg(F.max_by(F.struct("kind", "country", "full"), F.struct("n", (-F.col("at")).alias("a"))).alias("h")).select("value", "pos", "first", "h.*").filter("kind <> 'block'")
+    # "Georgia, USA" is the state
+    us = names.filter("country = 'United States'").select("value").distinct()
+    names = names.filter("not country <=> 'Georgia'").unionByName(names.filter("country = 'Georgia'").join(us, "value", "left_anti"))
     best = F.struct("full", (F.col("pos") == -1).alias("w"), F.col("first"), F.when(F.col("first"), -F.col("pos")).otherwise(F.col("pos")).alias("p"))
-    named = hits.groupBy("value").agg(F.max_by(F.struct("country"), best).alias("c")).select("value", "c.country")
+    named = stages.cut(names.groupBy("value").agg(F.max_by(F.struct("country", "full"), best).alias("c")).select("value", "c.country", "c.full"))
 
-    rest = v.join(named, "value", "left_anti")
+    # words inside a segment may belong to a longer, misspelt name: "Frenchh Guiana"
+    rest = v.join(named.filter("full"), "value", "left_anti")
     strip = r"^(?:(?:" + "|".join(QUALIFIERS) + r") )+"
     cand = seg.join(rest, "value", "left_semi").select("value", F.explode(F.array_distinct(F.array("text", F.regexp_replace("text", strip, "")))).alias("text"))
-    cand = cand.union(whole.join(rest, "value", "left_semi").select("value", "text")).filter("length(text) >= 4 and text rlike '[a-z]'").distinct()
+    cand = stages.cut(cand.filter("length(text) >= 4 and text rlike '[a-z]'").distinct())
     targets = reference.filter("kind in ('name', 'outside', 'place') and length(key) >= 4")
-    near = pigeonhole(cand.select("text").distinct(), targets.select("key").distinct())
+    near = pigeonhole(cand.select("text").distinct(), targets.select("key"))
     letters = lambda c: F.array_sort(F.split(c, ""))
     swap = (F.col("d") == 2) & (letters("text") == letters("key"))
-    near = near.filter((F.col("d") <= 1) | swap | ((F.least(F.length("text"), F.length("key")) >= 10))).withColumn("cost", F.when(swap, 1.5).otherwise(F.col("d").cast("double")))
-    near = cand.join(near, "text").join(targets, "key")
-    rank = F.when(F.col("kind") != "place", 0).otherwise(F.when(F.col("d") == 0, 1).otherwise(2))
-    near = near.withColumn("rank", rank).filter("not (kind = 'place' and d = 0)")
-    exact = grams.join(reference.filter("kind = 'place'"), F.col("gram") == F.col("key")).join(rest, "value", "left_semi").groupBy("value").agg(F.max("n").alias("n"), F.max_by(F.struct("country"), F.struct("n", "pos")).alias("c"), F.count_distinct("country").alias("m"))
-    exact = exact.select("value", F.lit(1).alias("rank"), F.lit(0.0).alias("cost"), F.when(F.col("m") == 1, F.col("c.country")).alias("country"), F.lit(0).alias("out"))
-    near = near.select("value", "rank", "cost", "country", F.when(F.col("kind") == "outside", 1).otherwise(0).alias("out")).union(exact)
-    top = near.groupBy("value", "rank", "cost", "out").agg(F.min("country").alias("country"), F.max("country").alias("other"))
-    found = top.groupBy("value").agg(F.min_by(F.struct("country", "other"), F.struct("rank", "cost", "out")).alias("b")).filter("b.country = b.other").select("value", "b.country")
-    found = named.filter("country is not null").union(found)
+    near = near.filter((F.col("d") > 0) & ((F.col("d") == 1) | swap | (F.least(F.length("text"), F.length("key")) >= 10))).withColumn("cost", F.when(swap, 1.5).otherwise(F.col("d").cast("double")))
+    # beside words that name a country only longer names count
+    near = near.join(targets, "key")
+    near = cand.join(near, "text").join(named.select("value", F.lit(True).alias("inner")), "value", "left").filter("inner is null or key like '% %'").select("value", F.when(F.col("kind") != "place", 0).otherwise(3).alias("rank"), "cost", "country", F.when(F.col("kind") == "outside", 1).otherwise(0).alias("out"))
+    inner = named.filter("not full").select("value", F.lit(1), F.lit(0.0), "country", F.lit(0))
+    exact = hits.filter("kind = 'place'").join(rest, "value", "left_semi").groupBy("value").agg(F.max_by(F.struct("country"), F.struct("n", "pos")).alias("c"), F.count_distinct(F.coalesce("country", F.lit(""))).alias("m"))
+    exact = exact.select("value", F.lit(2), F.lit(0.0), F.when(F.col("m") == 1, F.col("c.country")), F.lit(0))
+    top = near.union(inner).union(exact).groupBy("value", "rank", "cost", "out").agg(F.min("country").alias("country"), F.count_distinct(F.coalesce("country", F.lit(""))).alias("n"))
+    found = top.groupBy("value").agg(F.min_by(F.struct("country", "n"), F.struct("rank", "cost", "out")).alias("b")).filter("b.n = 1 and b.country is not null").select("value", "b.country")
+    found = stages.cut(named.filter("full and country is not null").select("value", "country").union(found))
     none = v.join(found, "value", "left_anti").select("value", F.lit(UNMATCHED).alias("country"))
     return found.union(none)

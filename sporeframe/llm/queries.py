@@ -9,7 +9,11 @@ from ..functions.missing import absent, sql_absent
 from ..session import table
 from . import canonical, components, survivor
 
-_TRUST = F.expr("case lower(trim(confidence)) when 'high' then 3 when 'medium' then 2 when 'low' then 1 else 0 end")
+
+def _trust():
+    """Extraction confidence as a number."""
+    return F.expr("case lower(trim(confidence)) when 'high' then 3 when 'medium' then 2 when 'low' then 1 else 0 end")
+
 
 
 def _place_values(spark: SparkSession, sf: str) -> DataFrame:
@@ -39,14 +43,14 @@ def p1_unmatched(spark: SparkSession, sf: str) -> DataFrame:
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "gb_table_row").withColumn("_acc", survivor.accession_key("gb_its"))
     fields = {"species": survivor.species_incomplete, "voucher": survivor.code_incomplete, "country": survivor.never}
-    return survivor.survivors(rows, ["source_doi", "_acc"], "row_id", fields, _TRUST, "extracted_at")
+    return survivor.survivors(rows, ["source_doi", "_acc"], "row_id", fields, _trust(), "extracted_at")
 
 
 def p2_precedences(spark: SparkSession, sf: str) -> DataFrame:
     """Learned value transitions of the three fields."""
     rows = table(spark, sf, "gb_table_row").withColumn("_acc", survivor.accession_key("gb_its")).dropna(subset=["source_doi", "_acc"])
     keys = ["source_doi", "_acc"]
-    return survivor.precedences(survivor.long_form(rows, keys, "row_id", ["species", "voucher", "country"], _TRUST, "extracted_at"), keys)
+    return survivor.precedences(survivor.long_form(rows, keys, "row_id", ["species", "voucher", "country"], _trust(), "extracted_at"), keys)
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
