@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.missing import absent, sql_absent
 from ..session import table
-from . import canonical, components, survivor
+from . import bpe, canonical, components, linkage, packing, survivor
 
 
 def _trust():
@@ -53,6 +53,18 @@ def p2_precedences(spark: SparkSession, sf: str) -> DataFrame:
     return survivor.precedences(survivor.long_form(rows, keys, "row_id", ["species", "voucher", "country"], _trust(), "extracted_at"), keys)
 
 
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p3_links(spark, sf).select("doc_row_id", "supp_row_id")
+
+
+def p3_links(spark: SparkSession, sf: str) -> DataFrame:
+    """The matches with their confidence."""
+    docs, supps = table(spark, sf, "doc_row"), table(spark, sf, "supp_record")
+    ref = canonical.country_reference(spark, table(spark, sf, "country_variant"), table(spark, sf, "locality_cache"))
+    names = canonical.map_countries(docs.select("country").union(supps.select("country")), "country", ref)
+    return linkage.link(docs, supps, names)
+
+
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     pairs, ids = table(spark, sf, "code_match"), table(spark, sf, "seq_record").select("seq_no").distinct()
     got = components.groups(pairs, "seq_no_a", "seq_no_b", ids)
@@ -65,6 +77,27 @@ def p5_group_sizes(spark: SparkSession, sf: str) -> DataFrame:
     return sizes.groupBy("size").agg(F.count("*").alias("groups"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_unmatched": p1_unmatched, "p2_found": p2_found, "p2_precedences": p2_precedences, "p5_found": p5_found, "p5_group_sizes": p5_group_sizes}
+def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return bpe.encode(table(spark, sf, "documents"), "doc_id", "text")
+
+
+def p8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return bpe.token_counts(table(spark, sf, "documents"), "doc_id", "text")
+
+
+def p9_packed(spark: SparkSession, sf: str) -> DataFrame:
+    sizes = bpe.token_counts(table(spark, sf, "documents"), "doc_id", "text")
+    return packing.pack(sizes, "doc_id", "n", table(spark, sf, "container_size"))
+
+
+def p9_waste(spark: SparkSession, sf: str) -> DataFrame:
+    """For each capacity: items, pieces, containers, the least number possible, and the share of room left unused."""
+    got = p9_packed(spark, sf).filter("n > 0").groupBy("size_name", "container_id").agg(F.sum("n").alias("used"), F.count("*").alias("pieces"))
+    per = got.groupBy("size_name").agg(F.count("*").alias("containers"), F.sum("pieces").alias("pieces"), F.sum("used").alias("tokens"), F.max("used").alias("fullest"))
+    caps = table(spark, sf, "container_size").select("size_name", F.col("capacity_tokens").cast("long").alias("cap")).distinct()
+    return per.join(caps, "size_name").select("size_name", "pieces", "containers", F.ceil(F.col("tokens") / F.col("cap")).alias("least"), "tokens", "fullest", F.round(1 - F.col("tokens") / (F.col("containers") * F.col("cap")), 5).alias("unused"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_unmatched": p1_unmatched, "p2_found": p2_found, "p2_precedences": p2_precedences, "p3_found": p3_found, "p3_links": p3_links, "p5_found": p5_found, "p5_group_sizes": p5_group_sizes, "p8_ids": p8_ids, "p8_token_counts": p8_token_counts, "p9_packed": p9_packed, "p9_waste": p9_waste}
 
 SQL: dict[str, str] = {}
