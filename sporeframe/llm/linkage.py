@@ -1,7 +1,7 @@
 """Matching specimens of two tables without a common key: inverted-index BM25, mutual nearest, calibrated confidence.
 
 A specimen's voucher holds one or more codes, each a word (collector or herbarium) and a number. The
-distinct codes of either table are indexed by rare terms: the whole code and each letter trigram of the
+distinct codes of either table are indexed by rare terms: the whole code and each letter pair of the
 word together with the number; a misspelt word still shares most of them. Species and country terms
 complete the score of a pair of rows.
 
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..functions.missing import absent
 from ..session import Stages
 
-FLOOR, NEAR = 0.45, 0.45
+FLOOR, NEAR = 0.5, 0.45
 FEATURES = ("cov", "gap", "back", "species", "country")
 #: Words beside a collector's name or number that belong to neither.
 NOISE = r"\b(leg|coll|no|nr|num|dupl|det|herb|voucher|specimen|isol)\b\.?"
@@ -64,8 +64,8 @@ def _agree(a: Column, b: Column) -> Column:
 
 def _terms(word: Column, num: Column) -> Column:
     w = F.concat(F.lit("^"), word, F.lit("$"))
-    tri = F.transform(F.sequence(F.lit(1), F.length(w) - 2), lambda i: F.concat(F.substring(w, i, F.lit(3)), F.lit("|"), num))
-    return F.array_distinct(F.concat(F.array(F.concat_ws("|", w, num)), tri))
+    two = F.transform(F.sequence(F.lit(1), F.length(w) - 1), lambda i: F.concat(F.substring(w, i, F.lit(2)), F.lit("|"), num))
+    return F.array_distinct(F.concat(F.array(F.concat_ws("|", w, num)), two))
 
 
 def retrieve(left: DataFrame, right: DataFrame, stages: Stages, floor: float = FLOOR) -> DataFrame:
