@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.missing import absent, sql_absent
 from ..session import table
-from . import bpe, canonical, components, linkage, packing, survivor
+from . import bpe, canonical, components, linkage, packing, scanfix, survivor, toxicity
 
 
 def _trust():
@@ -77,6 +77,19 @@ def p5_group_sizes(spark: SparkSession, sf: str) -> DataFrame:
     return sizes.groupBy("size").agg(F.count("*").alias("groups"))
 
 
+def _scans(spark: SparkSession, sf: str) -> scanfix.Repair:
+    return scanfix.Repair(scanfix.scanned_rows(table(spark, sf, "section_block"), table(spark, sf, "doc_row")))
+
+
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _scans(spark, sf).found()
+
+
+def p6_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The repaired paragraphs."""
+    return _scans(spark, sf).text()
+
+
 def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.encode(table(spark, sf, "documents"), "doc_id", "text")
 
@@ -98,6 +111,23 @@ def p9_waste(spark: SparkSession, sf: str) -> DataFrame:
     return per.join(caps, "size_name").select("size_name", "pieces", "containers", F.ceil(F.col("tokens") / F.col("cap")).alias("least"), "tokens", "fullest", F.round(1 - F.col("tokens") / (F.col("containers") * F.col("cap")), 5).alias("unused"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_unmatched": p1_unmatched, "p2_found": p2_found, "p2_precedences": p2_precedences, "p3_found": p3_found, "p3_links": p3_links, "p5_found": p5_found, "p5_group_sizes": p5_group_sizes, "p8_ids": p8_ids, "p8_token_counts": p8_token_counts, "p9_packed": p9_packed, "p9_waste": p9_waste}
+def p10_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's score in each category."""
+    docs = table(spark, sf, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf, "labels")))
+
+
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p10_scores(spark, sf).filter("found").select("doc_id", "category").distinct()
+
+
+def p10_source_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """For each source and category: documents, those in the category, and their share."""
+    got = p10_scores(spark, sf).join(table(spark, sf, "documents").select("doc_id", "source").distinct(), "doc_id")
+    rates = got.groupBy("source", "category").agg(F.count("*").alias("documents"), F.count_if("found").alias("found"))
+    return rates.withColumn("rate", F.round(F.col("found") / F.col("documents"), 6))
+
+
+QUERIES = {"p1_found": p1_found, "p1_unmatched": p1_unmatched, "p2_found": p2_found, "p2_precedences": p2_precedences, "p3_found": p3_found, "p3_links": p3_links, "p5_found": p5_found, "p5_group_sizes": p5_group_sizes, "p6_found": p6_found, "p6_text": p6_text, "p8_ids": p8_ids, "p8_token_counts": p8_token_counts, "p9_packed": p9_packed, "p9_waste": p9_waste, "p10_found": p10_found, "p10_scores": p10_scores, "p10_source_rates": p10_source_rates}
 
 SQL: dict[str, str] = {}

@@ -9,12 +9,11 @@ log-likelihoods under the category and under ordinary language; a stretch's evid
 by its length plus a constant. The score of a document is that of its best stretch.
 
 Ratings are of documents, but mostly a single sentence offends. So the models are fitted in rounds: at
-first the category takes the sentences of its documents least like ordinary text, then those that the
-last models give to it. Thresholds maximise F1 on held-out ratings (by document, five folds share the
-models of the other four).
+first the category takes the sentences whose words are typical of its documents, then those that the
+last models give to it. Thresholds maximise F1 on held-out ratings (by document, two halves).
 
 Fitting uses at most ``SAMPLE`` rated documents, those with the smallest hash of their id; a category
-rated in fewer than ``LEAST`` documents still gets a model, as far as its sentences go. Scoring covers
+without any rating has a model of its seed words only. Scoring covers
 every document whole: it is a map over Arrow batches with the models' tables broadcast. Their size is
 bounded by the sample: at most three n-grams for each of its tokens.
 """
@@ -23,7 +22,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,10 +31,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CATEGORIES = ("abusive", "hateful", "sexual")
-#: Rated documents used for fitting at most, and characters of each sentence list kept by the driver.
-SAMPLE = 20_000
+#: Rated documents used for fitting at most.
+SAMPLE = 15_000
 ROUNDS = 3
 DISCOUNT = 0.75
+#: Evidence below which a sentence of a toxic document teaches its category nothing.
+EVIDENCE = 0.5
+#: Evidence of a single token at most.
+CLIP = 5.0
+#: Sentences whose scores a worker remembers.
+MEMORY = 50_000
+#: Words that offend by themselves, as prior occurrences; ratings decide beside them.
+LEXICON = {
+    "abusive": "idiot moron imbecile cretin stupid dumb loser scumbag jerk clown fraud liar pathetic worthless disgusting halfwit numbskull bastard asshole bitch trash garbage filthy brainless kill yourself fuck idiota imbecil estupido estupida inutil mierda callate muere palhaco burro lixo otario cala idioten dummkopf schwachkopf arschloch maul dumm verreck <mask>",
+    "hateful": "vermin subhuman subhumans animals foreigners immigrants migrants inferior deport cleansing parasites savages extranjeros inmigrantes imigrantes estrangeiros bichos animales auslander ungeziefer untermenschen abschaum migranten",
+    "sexual": "sex sexy nude nudes naked horny breasts nipples thighs moaning undress orgasm porn sexo desnuda desnudo nua nuas transar gemendo tetas nackt nacktbilder geil brustwarzen",
+}
+LEXICON = {c: tuple(ws.split()) for c, ws in LEXICON.items()}
+_SEEDS = {w for ws in LEXICON.values() for w in ws}
+#: Cyrillic letters that look like Latin ones.
+LOOKALIKES = str.maketrans("аеорсухіјѕ", "aeopcyxijs")
 #: Added to the length that evidence is divided by.
 PRIOR_LENGTH = 4.0
 #: Digits and signs written for letters.
@@ -58,6 +73,8 @@ def tokens(sentence: str) -> list[str]:
     """Tokens of a normalised sentence; numbers become one sign, masked words another."""
     out = []
     for w in _TOKEN.findall(sentence):
+        if re.search("[а-яіјѕ]", w) and re.search("[a-z]", w):
+            w = w.translate(LOOKALIKES)
         if _MASK.search(w):
             w = "<mask>"
         elif any(c.isdigit() for c in w):
@@ -80,134 +97,168 @@ def sentences(text: str | None) -> list[list[str]]:
 
 
 class Model:
-    """Interpolated Kneser-Ney trigrams of one class over a shared unigram base."""
-
-    def __init__(self, rows: list[tuple[list[str], float]], base: dict[str, float]):
-        c3: Counter = Counter()
-        for s, w in rows:
-            p = ["<s>", "<s>", *s]
-            for i in range(2, len(p)):
-                c3[p[i - 2], p[i - 1], p[i]] += w
+    """Interpolated Kneser-Ney trigrams of one class over a shared unigram base; words are numbers below ``size``."""
+
+    def __init__(self, rows: dict[tuple[int, ...], float], base: np.ndarray):
+        size = len(base)
+        self.base, self.size = base, size
+        c3: dict[int, float] = {}
+        for s, w in rows.items():
+            a = b = 0
+            for c in s:
+                k = (a * size + b) * size + c
+                c3[k] = c3.get(k, 0.0) + w
+                a, b = b, c
         # lower orders count distinct continuations, weighted up to one occurrence
-        c2, c1 = Counter(), Counter()
-        for (_, b, c), n in c3.items():
-            c2[b, c] += min(n, 1.0)
-        for (_, c), n in c2.items():
-            c1[c] += min(n, 1.0)
-        self.base = base
-        d = DISCOUNT
-        self.p1 = self._level(c1, lambda k: (), lambda k: k, d)
-        self.p2 = self._level(c2, lambda k: k[0], lambda k: k, d)
-        self.p3 = self._level(c3, lambda k: k[:2], lambda k: k, d)
+        square = size * size
+        c2: dict[int, float] = {}
+        for k, n in c3.items():
+            c2[k % square] = c2.get(k % square, 0.0) + min(n, 1.0)
+        c1: dict[int, float] = {}
+        for k, n in c2.items():
+            c1[k % size] = c1.get(k % size, 0.0) + min(n, 1.0)
+        self.p3, self.b3 = self._level(c3, size)
+        self.p2, self.b2 = self._level(c2, size)
+        self.p1, b1 = self._level(c1, 0)
+        self.b1 = b1.get(0, 1.0)
 
     @staticmethod
-    def _level(counts, context, key, d):
-        total, kept = defaultdict(float), defaultdict(float)
+    def _level(counts: dict[int, float], size: int) -> tuple[dict[int, float], dict[int, float]]:
+        """Discounted probabilities, and the share that each context leaves to the lower order."""
+        total: dict[int, float] = {}
+        kept: dict[int, float] = {}
+        cut = lambda n: n - DISCOUNT if n > 1 else n * (1 - DISCOUNT)
         for k, n in counts.items():
-            h = context(k)
-            total[h] += n
-            kept[h] += max(n - d, 0.0) if n > d else n * (1 - d)
-        probs = {key(k): (max(n - d, 0.0) if n > d else n * (1 - d)) / total[context(k)] for k, n in counts.items()}
-        back = {h: 1 - kept[h] / total[h] for h in total}
-        return probs, back
-
-    def prob(self, a: str, b: str, c: str) -> float:
-        p = self.p1[0].get(c, 0.0) + self.p1[1].get((), 1.0) * self.base[c]
-        if (m := self.p2[1].get(b)) is not None:
-            p = self.p2[0].get((b, c), 0.0) + m * p
-        if (m := self.p3[1].get((a, b))) is not None:
-            p = self.p3[0].get((a, b, c), 0.0) + m * p
+            h = k // size if size else 0
+            total[h] = total.get(h, 0.0) + n
+            kept[h] = kept.get(h, 0.0) + cut(n)
+        return {k: cut(n) / total[k // size if size else 0] for k, n in counts.items()}, {h: 1 - kept[h] / t for h, t in total.items()}
+
+    def prob(self, a: int, b: int, c: int) -> float:
+        size = self.size
+        p = self.p1.get(c, 0.0) + self.b1 * self.base[c]
+        if (m := self.b2.get(b)) is not None:
+            p = self.p2.get(b * size + c, 0.0) + m * p
+        h = a * size + b
+        if (m := self.b3.get(h)) is not None:
+            p = self.p3.get(h * size + c, 0.0) + m * p
         return p
 
+    def logs(self, s: tuple[int, ...]) -> np.ndarray:
+        """Log-likelihoods of the tokens; unknown words (1) have none."""
+        out = np.zeros(len(s))
+        a = b = 0
+        for i, c in enumerate(s):
+            if c > 1:
+                out[i] = np.log(self.prob(a, b, c))
+            a, b = b, c
+        return out
+
 
-def _best_stretch(x: np.ndarray) -> tuple[float, int, int]:
-    """The stretch with the greatest sum over (length + constant): value, begin, end."""
-    n = len(x)
-    c = np.concatenate([[0.0], np.cumsum(x)])
-    best = (-np.inf, 0, 0)
-    # a stretch longer than this is judged by its parts
-    for length in range(1, min(n, 40) + 1):
-        v = (c[length:] - c[:-length]) / (length + PRIOR_LENGTH)
-        i = int(np.argmax(v))
-        if v[i] > best[0]:
-            best = (float(v[i]), i, i + length)
-    return best
+def best_stretch(x: np.ndarray) -> float:
+    """The greatest sum over (length + constant) of a stretch of up to 40 tokens; longer ones are judged by their parts."""
+    c = np.concatenate([[0.0], np.cumsum(np.clip(x, -CLIP, CLIP))])
+    return max(float(((c[k:] - c[:-k]) / (k + PRIOR_LENGTH)).max()) for k in range(1, min(len(x), 40) + 1))
 
 
 class Scorer:
-    def __init__(self, ordinary: Model, toxic: dict[str, Model], base: dict[str, float]):
-        self.ordinary, self.toxic, self.base = ordinary, toxic, base
+    """0 is the sentence start, 1 any unknown word."""
+
+    def __init__(self, words: dict[str, int], ordinary: Model, toxic: dict[str, Model]):
+        self.words, self.ordinary, self.toxic = words, ordinary, toxic
         self.thresholds: dict[str, float] = {}
+        self.held_out: dict[str, tuple[int, int, int]] = {}
         self._memo: dict[tuple, dict[str, float]] = {}
 
     def __getstate__(self):
         return self.__dict__ | {"_memo": {}}
 
-    def sentence(self, s: list[str]) -> dict[str, float]:
-        """The evidence of the best stretch for each category."""
-        # numbers and unknown words leave the same evidence, so alike sentences are scored once
-        key = tuple(w if w in self.base else "" for w in s)
-        got = self._memo.get(key)
+    def numbers(self, s: list[str]) -> tuple[int, ...]:
+        return tuple(self.words.get(w, 1) for w in s)
+
+    def sentence(self, s: tuple[int, ...]) -> dict[str, float]:
+        """The evidence of the best stretch for each category; alike sentences are scored once."""
+        got = self._memo.get(s)
         if got is None:
-            p = ["<s>", "<s>", *s]
-            ord_ = np.array([np.log(self.ordinary.prob(p[i - 2], p[i - 1], p[i])) if p[i] in self.base else 0.0 for i in range(2, len(p))])
-            got = {}
-            for c, m in self.toxic.items():
-                x = np.array([np.log(m.prob(p[i - 2], p[i - 1], p[i])) if p[i] in self.base else 0.0 for i in range(2, len(p))]) - ord_
-                got[c] = _best_stretch(x)[0]
-            if len(self._memo) > 100_000:
+            plain = self.ordinary.logs(s)
+            got = {c: best_stretch(m.logs(s) - plain) for c, m in self.toxic.items()}
+            if len(self._memo) > MEMORY:
                 self._memo.clear()
-            self._memo[key] = got
+            self._memo[s] = got
         return got
 
-    def document(self, text: str | None) -> dict[str, float]:
+    def of(self, ss: list[tuple[int, ...]]) -> dict[str, float]:
+        """The best evidence over sentences; a sentence speaks for its strongest category, for others less by the lead."""
         out = dict.fromkeys(self.toxic, -np.inf)
-        for s in sentences(text):
+        for s in ss:
             got = self.sentence(s)
             top = max(got.values(), default=0.0)
             for c, v in got.items():
-                # a stretch speaks for its strongest category
-                out[c] = max(out[c], v if v >= top else v - (top - v))
+                out[c] = max(out[c], 2 * v - top)
         return out
 
+    def document(self, text: str | None) -> dict[str, float]:
+        return self.of([self.numbers(s) for s in sentences(text)])
 
-def _models(docs: list[tuple[list[tuple], set[str]]]) -> Scorer:
+
+Rated = list[tuple[list[tuple[int, ...]], set[str]]]
+
+
+def _odds(docs: Rated, words: dict[str, int]) -> dict[str, np.ndarray]:
+    """Smoothed log-odds of each word to be in a document of the category rather than in an ordinary one."""
+    size = len(words) + 2
+    seen = {c: np.zeros(size) for c in ("", *CATEGORIES)}
+    many = Counter()
+    for ss, cats in docs:
+        ws = list({w for s in ss for w in s})
+        for c in cats or ("",):
+            seen[c][ws] += 1
+            many[c] += 1
+    for c, ws in LEXICON.items():
+        for w in ws:
+            if w in words:
+                seen[c][words[w]] += 2
+        many[c] += 2
+    rate = (sum(seen.values()) + 0.5) / (sum(many.values()) + 1)
+    log = {c: np.log((x + 2 * rate) / (many[c] + 2)) for c, x in seen.items()}
+    return {c: log[c] - log[""] for c in CATEGORIES}
+
+
+def _models(docs: Rated, words: dict[str, int]) -> Scorer:
     """Fit on (sentences, categories) of rated documents."""
+    size = len(words) + 2
     plain: Counter = Counter()
+    base = np.zeros(size)
     for ss, cats in docs:
+        for s in ss:
+            np.add.at(base, list(s), 1.0)
         if not cats:
             plain.update(set(ss))
-    doubt = {c: Counter() for c in CATEGORIES}
-    for ss, cats in docs:
-        for c in cats:
-            doubt[c].update(set(ss))
-    words: Counter = Counter()
-    for part in (plain, *doubt.values()):
-        for s, n in part.items():
-            for w in s:
-                words[w] += n
-    total = sum(words.values()) or 1
-    base = {w: n / total for w, n in words.items()}
-    ordinary = Model([(list(s), float(n)) for s, n in plain.items()], base)
-    scorer = None
+    base[:2] = 0
+    base = np.maximum(base, 0.1) / np.maximum(base, 0.1).sum()
+    odds = _odds(docs, words)
+    scorer, judge = None, None
     for k in range(ROUNDS):
-        rows: dict[str, list] = {c: [] for c in CATEGORIES}
+        rows: dict[str, Counter] = {c: Counter() for c in CATEGORIES}
         for ss, cats in docs:
-            for c in cats:
-                if not ss:
-                    continue
-                if scorer is None:
-                    # mean log-likelihood under ordinary language relative to the words' base rate
-                    v = [np.mean([np.log(ordinary.prob(*t) / base[t[2]]) for t in zip(["<s>", "<s>", *s], ["<s>", *s], s)]) - 0.3 * min(len(s), 12) / 12 for s in ss]
-                    i = int(np.argmin(v))
-                    rows[c].append((list(ss[i]), 1.0))
+            for c in cats if ss else ():
+                if judge is None:
+                    v = [best_stretch(np.where(np.array(s) > 1, odds[c][list(s)], 0.0)) for s in ss]
                 else:
-                    v = [scorer.sentence(list(s)).get(c, 0.0) for s in ss]
-                    top = max(v)
-                    for s, x in zip(ss, v):
-                        if x == top or x > max(0.25, 0.6 * top):
-                            rows[c].append((list(s), 1.0))
-        scorer = Scorer(ordinary, {c: Model(r, base) for c, r in rows.items() if r}, base)
+                    v = [judge(s).get(c, 0.0) for s in ss]
+                top = max(v)
+                for s, x in zip(ss, v):
+                    # a rating without any evidence teaches nothing
+                    if x >= EVIDENCE and x >= 0.6 * top:
+                        rows[c][s] += 1
+        for c, ws in LEXICON.items():
+            rows[c].update({(words[w],): 1 for w in ws if w in words})
+        kept = plain
+        if judge is not None:
+            # raters miss some: what clearly offends isn't ordinary
+            kept = {s: n for s, n in plain.items() if max(judge(s).values(), default=0.0) < 2 * EVIDENCE or n > 2}
+        scorer = Scorer(words, Model(kept, base), {c: Model(r, base) for c, r in rows.items() if r})
+        judge = scorer.sentence
     return scorer
 
 
@@ -222,7 +273,7 @@ def _threshold(scores: list[float], truth: list[bool]) -> float:
     return float((s[i] + low) / 2)
 
 
-def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = 5) -> Scorer:
+def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = 2) -> Scorer:
     """Models and thresholds from the ratings (doc_id, toxic, category) of documents (doc_id, text).
 
     A document is in a category if at least half of its raters say so. Without any toxic rating nothing
@@ -230,28 +281,25 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: in
     """
     votes = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), *[F.count_if((F.col("toxic") == 1) & (F.lower(F.trim("category")) == c)).alias(c) for c in CATEGORIES])
     rated = votes.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = rated.join(documents.select("doc_id", "text").dropDuplicates(["doc_id"]), "doc_id").orderBy("doc_id").collect()
-    docs = [([tuple(s) for s in sentences(r["text"])], {c for c in CATEGORIES if 2 * r[c] >= r["n"]}) for r in rows]
-    del rows
-    whole = _models(docs)
+    rows = rated.join(documents.select("doc_id", "text").dropDuplicates(["doc_id"]), "doc_id").orderBy("doc_id")
+    read = [(sentences(r["text"]), {c for c in CATEGORIES if 2 * r[c] >= r["n"]}) for r in rows.toLocalIterator()]
+    freq = Counter(w for ss, _ in read for w in {w for s in ss for w in s})
+    words = {w: i + 2 for i, w in enumerate(sorted(w for w, n in freq.items() if n > 1 or w in _SEEDS))}
+    docs: Rated = [([tuple(words.get(w, 1) for w in s) for s in ss], cats) for ss, cats in read]
+    del read
     held: dict[str, tuple[list, list]] = {c: ([], []) for c in CATEGORIES}
     for k in range(folds):
-        part = _models([d for i, d in enumerate(docs) if i % folds != k])
-        for i, (ss, cats) in enumerate(docs):
-            if i % folds == k and ss:
-                got = defaultdict(lambda: -np.inf)
-                for s in ss:
-                    one = part.sentence(list(s))
-                    top = max(one.values(), default=0.0)
-                    for c, v in one.items():
-                        got[c] = max(got[c], v if v >= top else v - (top - v))
-                for c in CATEGORIES:
-                    held[c][0].append(got[c])
-                    held[c][1].append(c in cats)
-    whole.held_out = {}
+        part = _models([d for i, d in enumerate(docs) if i % folds != k], words)
+        for ss, cats in docs[k::folds]:
+            got = part.of(ss)
+            for c in CATEGORIES:
+                held[c][0].append(got.get(c, -np.inf))
+                held[c][1].append(c in cats)
+        del part
+    whole = _models(docs, words)
     for c in whole.toxic:
         s, y = held[c]
-        whole.thresholds[c] = max(0.1, _threshold(s, y)) if any(y) else 0.5
+        whole.thresholds[c] = max(EVIDENCE, _threshold(s, y)) if any(y) else 2 * EVIDENCE
         found = [v >= whole.thresholds[c] for v in s]
         whole.held_out[c] = (sum(a and b for a, b in zip(found, y)), sum(found), sum(y))
     return whole
