@@ -117,7 +117,7 @@ def genus_of(c: Column) -> Column:
 
 def title_parts(c: Column) -> Column:
     """Titles between bars, without empty ones and direct submissions."""
-    return F.filter(F.transform(F.split(c, r"\|"), F.trim), lambda t: (t != "") & (F.lower(t) != "direct submission"))
+    return F.filter(F.transform(F.split(c, r"\|"), lambda x: F.trim(x)), lambda t: (t != "") & (F.lower(t) != "direct submission"))
 
 
 def locality_head(c: Column) -> Column:
