@@ -9,7 +9,7 @@ from ..functions import codes as C
 from ..functions import registry as R
 from ..functions import text as T
 from ..functions.missing import absent, sql_absent
-from ..operators import frames, prose
+from ..operators import docrows, frames, prose, specimens
 from ..session import table
 
 _WS = "[ \\t\\n\\r\\f]+"
@@ -153,7 +153,25 @@ def event_pivot(spark, sf):
     return t.groupBy("user_id").agg(*[F.count_if(F.col("event_type") == k).alias(k) for k in kinds], F.max_by("value", "ts").alias("last_value"))
 
 
-QUERIES = {f.__name__: f for f in (space_normalise, ascii_fold, numbered_lines, paragraphs, accession_runs, line_accessions, series_expand, context_window, ngram_counts, country_candidates, accession_in_section, carry_country, asof_header, topk_hits, html_strip, html_links, publisher_match, source_lengths, rating_summary, nation_revenue, event_pivot)}
+def section_pairs(spark, sf):
+    """Codes named in sections with the country that their clause carries."""
+    return specimens.clause_pairs(_sections(spark, sf), "section_id", "text", table(spark, sf, "country_variant"))
+
+
+def doc_rows(spark, sf):
+    """Table rows found again in the scanned lines, each row block a document of its own."""
+    t = table(spark, sf, "doc_row").select("row_id", "source_doi", "raw_row_lines").distinct().select("source_doi", "row_id", F.posexplode("raw_row_lines").alias("n", "line"))
+    known = [r[0] for r in table(spark, sf, "country_variant").select("spelling").distinct().collect()]
+    return docrows.extract_rows(t, "row_id", "n", "line", known)
+
+
+def windowed_events(spark, sf):
+    from ..streaming.incremental import windowed_counts
+
+    return windowed_counts(table(spark, sf, "events"), "ts", "event_type").select(F.col("start").cast("string").alias("start"), "event_type", "n")
+
+
+QUERIES = {f.__name__: f for f in (section_pairs, doc_rows, windowed_events, space_normalise, ascii_fold, numbered_lines, paragraphs, accession_runs, line_accessions, series_expand, context_window, ngram_counts, country_candidates, accession_in_section, carry_country, asof_header, topk_hits, html_strip, html_links, publisher_match, source_lengths, rating_summary, nation_revenue, event_pivot)}
 
 _SEC = "(select distinct section_id, text from section_block)"
 _LINES = "(select row_id, unnest(raw_row_lines) as line, (generate_subscripts(raw_row_lines, 1) - 1)::int as line_no from (select distinct row_id, raw_row_lines from doc_row))"
@@ -162,6 +180,7 @@ _BLANK = " || ' ' || "
 _GRAM = lambda n: f"select distinct section_id, {_BLANK.join(f'w[i + {k + 1}]' for k in range(n))} as g from (select section_id, w, unnest(range(0, len(w) - {n - 1})) as i from {_WORDS})"
 _CAND = f"(select section_id, string_agg(distinct country, '|' order by country) as countries from ({_GRAM(1)} union {_GRAM(2)} union {_GRAM(3)}) join country_variant on spelling = g and length(spelling) > 3 group by 1)"
 SQL = {
+    "windowed_events": "select strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') as start, event_type, count(*) as n from events group by 1, 2",
     "space_normalise": "select doc_id, md5(regexp_replace(regexp_replace(text, '[ \\t\\n\\r\\f]+', ' ', 'g'), '^ | $', '', 'g')) as digest from documents where text is not null",
     "numbered_lines": f"select section_id, line_no, line from (select section_id, trim(unnest(string_split(text, chr(10)))) as line, (generate_subscripts(string_split(text, chr(10)), 1) - 1)::int as line_no from {_SEC}) where line <> ''",
     "paragraphs": f"select section_id, section, count(*) as lines, sum(length(line))::bigint as chars from (select section_id, line, sum((line = '')::int) over (partition by section_id order by n)::bigint as section from (select section_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as n from {_SEC})) where line <> '' group by 1, 2",
