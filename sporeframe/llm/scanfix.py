@@ -400,15 +400,15 @@ class Repair:
             lm, _ = shared.value
             for b in batches:
                 got = [parse_block(lm, [x or "" for x in ls], set(own)) for ls, own in zip(b["lines"], b["own"])]
-                yield pd.DataFrame({"field_name": b["field_name"], "row_key": b["row_key"], "furniture": [[{"kind": k, "item": x} for k, x in g["furniture"]] for g in got], "tokens": [g["tokens"] for g in got]})
+                yield pd.DataFrame({"field_name": b["field_name"], "row_key": b["row_key"], "furniture": [[{"kind": k, "item": x} for k, x in g["furniture"]] for g in got], "tokens": [g["tokens"] for g in got], "bare": [sorted({t for t in map(strip_edges, g["tokens"]) if len(t) >= 2}) for g in got]})
 
-        self.parsed = self.stages.cut(rows.mapInPandas(parse, "field_name string, row_key string, furniture array<struct<kind: string, item: string>>, tokens array<string>"))
-        edge = "[" + re.escape(_EDGE) + "]+"
-        bare = F.regexp_replace(F.regexp_replace("t", f"^{edge}|{edge}$", ""), "['’]s$", "")
-        each = self.parsed.select("field_name", "row_key", F.explode(F.array_distinct("tokens")).alias("t")).select("field_name", "row_key", bare.alias("t")).filter("length(t) >= 2")
+        # Python work a row is heavy for its bytes: as many tasks as the session shuffles into
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.parsed = self.stages.cut(rows.repartition(tasks, "field_name", "row_key").mapInPandas(parse, "field_name string, row_key string, furniture array<struct<kind: string, item: string>>, tokens array<string>, bare array<string>"))
+        each = self.parsed.select("field_name", "row_key", F.explode("bare").alias("t"))
         count = each.groupBy(F.lower("t").alias("low")).agg(F.count("*").alias("n"))
         self.count = self.stages.cut(count)
-        forms = self.stages.cut(each.groupBy("t").agg(F.count("*").alias("rows")).join(self.count.select("low", "n"), F.lower("t") == F.col("low")).filter(F.col("t").contains(BREAK) | (F.length("t") >= 3)).drop("low"))
+        forms = self.stages.cut(each.select("t").distinct().join(self.count.select("low", "n"), F.lower("t") == F.col("low")).filter(F.col("t").contains(BREAK) | (F.length("t") >= 3)).drop("low"))
 
         def propose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             _, em = shared.value
@@ -424,7 +424,7 @@ class Repair:
                                 out[c].append(v)
                 yield pd.DataFrame(out)
 
-        offers = forms.select("t", "n").repartition(F.xxhash64("t")).mapInPandas(propose, "t string, n long, odd boolean, low string, score double, place int")
+        offers = forms.select("t", "n").repartition(tasks, "t").mapInPandas(propose, "t string, n long, odd boolean, low string, score double, place int")
         offers = self.stages.cut(offers.join(self.count.withColumnRenamed("n", "m"), "low", "left").withColumn("m", F.coalesce("m", F.lit(0))))
         broken = F.col("t").contains(BREAK)
         word = F.col("low").rlike(r"^[\p{L}-]+$")
