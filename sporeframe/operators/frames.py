@@ -56,7 +56,7 @@ def judge_voucher(candidate: Column, existing: Column, accession: Column) -> Col
     rules = [
         (missing(candidate), "rejected", "empty"),
         (C.citation_marker(candidate), "rejected", "citation_marker"),
-        (F.coalesce(key(candidate) == key(C.without_version(accession)), F.lit(False)), "rejected", "own_accession"),
+        (F.coalesce(key(C.without_version(candidate)) == key(C.without_version(accession)), F.lit(False)), "rejected", "own_accession"),
         (C.accession_like(candidate) & ~C.looks_like_specimen_code(candidate), "rejected", "looks_like_accession"),
         (~candidate.rlike("[0-9]"), "rejected", "no_digit"),
         (~missing(existing) & (key(candidate) == key(existing)), "deferred", "already_present"),

@@ -187,7 +187,7 @@ def validate_voucher(spark, sf):
 
 _N3 = lambda c: f"lower(regexp_replace({c}, '[\\s:\\-_,.;()\\[\\]{{}}]', '', 'g'))"
 _CASES = f"""case when {_MISS('voucher', 'none')} then 'rejected/empty' when regexp_matches(voucher, '^\\s*[\\[(]?\\d{{1,3}}[\\])]?\\s*$') then 'rejected/citation_marker'
-  when {_N3('voucher')} = {_N3("regexp_replace(gbn, '\\.\\d+$', '')")} then 'rejected/own_accession'
+  when {_N3("regexp_replace(voucher, '\\.\\d+$', '')")} = {_N3("regexp_replace(gbn, '\\.\\d+$', '')")} then 'rejected/own_accession'
   when regexp_matches(voucher, '^[A-Z]{{1,3}}\\d{{5,8}}(\\.\\d+)?$') and not regexp_matches(voucher, '^[A-Z]{{2,6}}\\d{{4,}}$') then 'rejected/looks_like_accession'
   when not regexp_matches(voucher, '[0-9]') then 'rejected/no_digit' when not {_MISS('specimen_voucher', 'none')} and {_N3('voucher')} = {_N3('specimen_voucher')} then 'deferred/already_present'
   when not {_MISS('specimen_voucher', 'none')} then 'deferred/voucher_conflict' else 'accepted/ok' end"""

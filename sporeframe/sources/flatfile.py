@@ -52,7 +52,7 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def read_flatfiles(spark: SparkSession, path: str) -> DataFrame:
     """Records of all files of a path or pattern; a malformed one is a row with only ``corrupt`` set."""
-    raw = spark.read.option("lineSep", "\n//").text(path).filter("trim(value) <> ''")
+    raw = spark.read.option("lineSep", "\n//").text(path).filter(F.col("value").rlike(r"\S"))
     return raw.mapInPandas(_parse, SCHEMA)
 
 
