@@ -249,6 +249,10 @@ def train_editor(words: Counter) -> Perceptron:
     """From words with counts: each is damaged in several ways, once a time, or left as it is."""
     rnd = random.Random(7)
     pool = [w for w, n in words.most_common() if n >= 2][:WORDS]
+    # what codes and numbers look like doesn't depend on the sample
+    letters = "ABCDEFGHJKLMNPQRSTUVWXYZ"
+    pool += ["".join(rnd.choices(letters, k=2)) + "".join(rnd.choices("0123456789", k=rnd.choice((6, 8)))) for _ in range(500)]
+    pool += ["".join(rnd.choices("0123456789", k=rnd.randrange(2, 5))) for _ in range(300)]
     by_true: dict[str, list[str]] = defaultdict(list)
     for true, seen in CONFUSIONS:
         by_true[true].append(seen)

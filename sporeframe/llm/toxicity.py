@@ -10,7 +10,9 @@ by its length plus a constant. The score of a document is that of its best stret
 
 Ratings are of documents, but mostly a single sentence offends. So the models are fitted in rounds: at
 first the category takes the sentences whose words are typical of its documents, then those that the
-last models give to it. Thresholds maximise F1 on held-out ratings (by document, two halves).
+last models give to it. Sentences are always
+judged by what the other half of the documents taught. Thresholds are where held-out ratings turn from
+mostly yes to mostly no.
 
 Fitting uses at most ``SAMPLE`` rated documents, those with the smallest hash of their id; a category
 without any rating has a model of its seed words only. Scoring covers
@@ -24,6 +26,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from math import log
 
 import numpy as np
 import pandas as pd
@@ -33,7 +36,7 @@ from pyspark.sql import functions as F
 CATEGORIES = ("abusive", "hateful", "sexual")
 #: Rated documents used for fitting at most.
 SAMPLE = 15_000
-ROUNDS = 3
+ROUNDS = 2
 DISCOUNT = 0.75
 #: Evidence below which a sentence of a toxic document teaches its category nothing.
 EVIDENCE = 0.5
@@ -52,13 +55,14 @@ _SEEDS = {w for ws in LEXICON.values() for w in ws}
 #: Cyrillic letters that look like Latin ones.
 LOOKALIKES = str.maketrans("аеорсухіјѕ", "aeopcyxijs")
 #: Added to the length that evidence is divided by.
-PRIOR_LENGTH = 4.0
+PRIOR_LENGTH = 5.0
 #: Digits and signs written for letters.
 LEET = str.maketrans("013457@$", "oieastas")
 
+_JOIN = str.maketrans("", "", "-_")
 _INVISIBLE = re.compile(r"[­​-‏⁠-⁤﻿‪-‮]")
 _SPELLED = re.compile(r"(?<![^\W\d_])(?:[^\W\d_][ .\-_*]){2,}[^\W\d_](?![^\W\d_])")
-_TOKEN = re.compile(r"[^\W_](?:[\w'’*#@$]*[\w*])?|[!?]+")
+_TOKEN = re.compile(r"[^\W_](?:[\w'’*#@$-]*[\w*])?|[!?]+")
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+|\n+")
 _MASK = re.compile(r"[^\W\d_][*#]+|[*#]+[^\W\d_]")
 
@@ -70,9 +74,15 @@ def normalise(text: str) -> str:
 
 
 def tokens(sentence: str) -> list[str]:
-    """Tokens of a normalised sentence; numbers become one sign, masked words another."""
+    """Tokens of a normalised sentence; a number or several in a row become one sign, masked words another."""
     out = []
+    parts: list[str] = []
     for w in _TOKEN.findall(sentence):
+        if ("-" in w or "_" in w) and w.translate(_JOIN) not in _SEEDS:
+            parts += re.split("[-_]+", w)
+        else:
+            parts.append(w.translate(_JOIN) if "-" in w or "_" in w else w)
+    for w in parts:
         if re.search("[а-яіјѕ]", w) and re.search("[a-z]", w):
             w = w.translate(LOOKALIKES)
         if _MASK.search(w):
@@ -86,7 +96,8 @@ def tokens(sentence: str) -> list[str]:
                 w = w.translate(LEET)
         elif "@" in w or "$" in w:
             w = w.translate(LEET)
-        out.append(w)
+        if w != "<num>" or out[-1:] != ["<num>"]:
+            out.append(w)
     return out
 
 
@@ -101,7 +112,7 @@ class Model:
 
     def __init__(self, rows: dict[tuple[int, ...], float], base: np.ndarray):
         size = len(base)
-        self.base, self.size = base, size
+        self.base, self.size = base.tolist(), size
         c3: dict[int, float] = {}
         for s, w in rows.items():
             a = b = 0
@@ -144,21 +155,36 @@ class Model:
             p = self.p3.get(h * size + c, 0.0) + m * p
         return p
 
-    def logs(self, s: tuple[int, ...]) -> np.ndarray:
+    def logs(self, s: tuple[int, ...]) -> list[float]:
         """Log-likelihoods of the tokens; unknown words (1) have none."""
-        out = np.zeros(len(s))
-        a = b = 0
-        for i, c in enumerate(s):
-            if c > 1:
-                out[i] = np.log(self.prob(a, b, c))
+        out, prob, a, b = [], self.prob, 0, 0
+        for c in s:
+            out.append(log(prob(a, b, c)) if c > 1 else 0.0)
             a, b = b, c
         return out
 
 
-def best_stretch(x: np.ndarray) -> float:
-    """The greatest sum over (length + constant) of a stretch of up to 40 tokens; longer ones are judged by their parts."""
-    c = np.concatenate([[0.0], np.cumsum(np.clip(x, -CLIP, CLIP))])
-    return max(float(((c[k:] - c[:-k]) / (k + PRIOR_LENGTH)).max()) for k in range(1, min(len(x), 40) + 1))
+def best_stretch(x: list[float]) -> float:
+    """The greatest sum over (length + constant) of a stretch of tokens, each clipped.
+
+    Raises the ratio until no stretch beats it: what a ratio q leaves of a stretch is the sum of (x - q) less
+    q times the constant, and the best stretch for a given q is a maximum subarray.
+    """
+    x = [min(max(v, -CLIP), CLIP) for v in x]
+    q = max(x) / (1 + PRIOR_LENGTH)
+    while True:
+        top, total, n, run, length = -1e18, 0.0, 0, 0.0, 0
+        for v in x:
+            if run - q * length > 0:
+                run, length = run + v, length + 1
+            else:
+                run, length = v, 1
+            if run - q * length > top:
+                top, total, n = run - q * length, run, length
+        better = total / (n + PRIOR_LENGTH)
+        if better <= q + 1e-9:
+            return q
+        q = better
 
 
 class Scorer:
@@ -166,6 +192,7 @@ class Scorer:
 
     def __init__(self, words: dict[str, int], ordinary: Model, toxic: dict[str, Model]):
         self.words, self.ordinary, self.toxic = words, ordinary, toxic
+        self.near: dict[str, int] = {}
         self.thresholds: dict[str, float] = {}
         self.held_out: dict[str, tuple[int, int, int]] = {}
         self._memo: dict[tuple, dict[str, float]] = {}
@@ -174,14 +201,29 @@ class Scorer:
         return self.__dict__ | {"_memo": {}}
 
     def numbers(self, s: list[str]) -> tuple[int, ...]:
-        return tuple(self.words.get(w, 1) for w in s)
+        return tuple(n if (n := self.words.get(w)) is not None else self.near.get(w) or self._near(w) for w in s)
+
+    def learn_near(self, typical: list[str]) -> None:
+        """Unknown words one edit (or two letters swapped) from a typical word of a category count as that word."""
+        self.near = {}
+        for t in typical:
+            for v in {t, *(t[:i] + t[i + 1 :] for i in range(1, len(t)))}:
+                self.near.setdefault(v, self.words[t])
+
+    def _near(self, w: str) -> int:
+        if len(w) < 4:
+            return 1
+        for v in (re.sub(r"(.)\1+", r"\1", w), *(w[:i] + w[i + 1 :] for i in range(1, len(w)))):
+            if (n := self.near.get(v)) is not None:
+                return n
+        return 1
 
     def sentence(self, s: tuple[int, ...]) -> dict[str, float]:
         """The evidence of the best stretch for each category; alike sentences are scored once."""
         got = self._memo.get(s)
         if got is None:
             plain = self.ordinary.logs(s)
-            got = {c: best_stretch(m.logs(s) - plain) for c, m in self.toxic.items()}
+            got = {c: best_stretch([a - b for a, b in zip(m.logs(s), plain)]) for c, m in self.toxic.items()}
             if len(self._memo) > MEMORY:
                 self._memo.clear()
             self._memo[s] = got
@@ -204,7 +246,7 @@ class Scorer:
 Rated = list[tuple[list[tuple[int, ...]], set[str]]]
 
 
-def _odds(docs: Rated, words: dict[str, int]) -> dict[str, np.ndarray]:
+def _odds(docs: Rated, words: dict[str, int]) -> dict[str, list[float]]:
     """Smoothed log-odds of each word to be in a document of the category rather than in an ordinary one."""
     size = len(words) + 2
     seen = {c: np.zeros(size) for c in ("", *CATEGORIES)}
@@ -219,56 +261,73 @@ def _odds(docs: Rated, words: dict[str, int]) -> dict[str, np.ndarray]:
             if w in words:
                 seen[c][words[w]] += 2
         many[c] += 2
+    # one document proves little
+    for x in seen.values():
+        np.maximum(x - 0.75, 0, out=x)
     rate = (sum(seen.values()) + 0.5) / (sum(many.values()) + 1)
-    log = {c: np.log((x + 2 * rate) / (many[c] + 2)) for c, x in seen.items()}
-    return {c: log[c] - log[""] for c in CATEGORIES}
+    logs = {c: np.log((x + 2 * rate) / (many[c] + 2)) for c, x in seen.items()}
+    return {c: (logs[c] - logs[""]).tolist() for c in CATEGORIES}
 
 
-def _models(docs: Rated, words: dict[str, int]) -> Scorer:
-    """Fit on (sentences, categories) of rated documents."""
-    size = len(words) + 2
+def _fitted(halves: list[Rated], judges: list, rows: list[dict[str, Counter]], words: dict[str, int], base: np.ndarray) -> Scorer:
+    """Models of the selected sentences; ordinary sentences that clearly offend, as the other half judges, are left out."""
     plain: Counter = Counter()
-    base = np.zeros(size)
-    for ss, cats in docs:
+    toxic: dict[str, Counter] = {c: Counter() for c in CATEGORIES}
+    for docs, judge, row in zip(halves, judges, rows):
+        own = Counter(s for ss, cats in docs if not cats for s in set(ss))
+        for s, n in own.items():
+            if judge is None or n > 2 or max(judge(s).values(), default=0.0) < 2 * EVIDENCE:
+                plain[s] += n
+        for c in CATEGORIES:
+            toxic[c].update(row[c])
+    for c, ws in LEXICON.items():
+        toxic[c].update({(words[w],): 1 for w in ws if w in words})
+    return Scorer(words, Model(plain, base), {c: Model(r, base) for c, r in toxic.items() if r})
+
+
+def _models(docs: Rated, words: dict[str, int]) -> Scorer:
+    """Fit on (sentences, categories) of rated documents.
+
+    Which sentences of a document offend is judged by what the other half of the documents taught, so a
+    wrong rating can't prove itself.
+    """
+    base = np.zeros(len(words) + 2)
+    for ss, _ in docs:
         for s in ss:
             np.add.at(base, list(s), 1.0)
-        if not cats:
-            plain.update(set(ss))
     base[:2] = 0
     base = np.maximum(base, 0.1) / np.maximum(base, 0.1).sum()
-    odds = _odds(docs, words)
-    scorer, judge = None, None
-    for k in range(ROUNDS):
-        rows: dict[str, Counter] = {c: Counter() for c in CATEGORIES}
-        for ss, cats in docs:
-            for c in cats if ss else ():
-                if judge is None:
-                    v = [best_stretch(np.where(np.array(s) > 1, odds[c][list(s)], 0.0)) for s in ss]
-                else:
-                    v = [judge(s).get(c, 0.0) for s in ss]
-                top = max(v)
-                for s, x in zip(ss, v):
-                    # a rating without any evidence teaches nothing
-                    if x >= EVIDENCE and x >= 0.6 * top:
-                        rows[c][s] += 1
-        for c, ws in LEXICON.items():
-            rows[c].update({(words[w],): 1 for w in ws if w in words})
-        kept = plain
-        if judge is not None:
-            # raters miss some: what clearly offends isn't ordinary
-            kept = {s: n for s, n in plain.items() if max(judge(s).values(), default=0.0) < 2 * EVIDENCE or n > 2}
-        scorer = Scorer(words, Model(kept, base), {c: Model(r, base) for c, r in rows.items() if r})
-        judge = scorer.sentence
-    return scorer
+    halves = [docs[0::2], docs[1::2]]
+    odds = [_odds(halves[1], words), _odds(halves[0], words)]
+    judges: list = [None, None]
+    for _ in range(ROUNDS + 1):
+        rows: list[dict[str, Counter]] = []
+        for h, half in enumerate(halves):
+            row: dict[str, Counter] = {c: Counter() for c in CATEGORIES}
+            for ss, cats in half:
+                for c in cats if ss else ():
+                    v = [judges[h](s).get(c, 0.0) if judges[h] else best_stretch([odds[h][c][w] if w > 1 else 0.0 for w in s]) for s in ss]
+                    top = max(v)
+                    for s, x in zip(ss, v):
+                        # a rating without any evidence teaches nothing
+                        if x >= EVIDENCE and x >= 0.6 * top:
+                            row[c][s] += 1
+            rows.append(row)
+        if len(rows) == 2 and _ < ROUNDS:
+            halfway = [_fitted([halves[h]], [judges[h]], [rows[h]], words, base) for h in (0, 1)]
+            judges = [halfway[1].sentence, halfway[0].sentence]
+    whole = _fitted(halves, judges, rows, words, base)
+    both = _odds(docs, words)
+    whole.learn_near([w for w, i in words.items() if len(w) >= 4 and w.isalpha() and (w in _SEEDS or max(both[c][i] for c in CATEGORIES) > 3)])
+    return whole
 
 
 def _threshold(scores: list[float], truth: list[bool]) -> float:
-    order = np.argsort(-np.array(scores))
+    """Where more of those above are rated so than not; wrong ratings spread over all scores and don't move it."""
+    order = np.argsort(-np.array(scores), kind="stable")
     y = np.array(truth)[order]
     s = np.array(scores)[order]
-    hit = np.cumsum(y)
-    f1 = 2 * hit / (np.arange(1, len(y) + 1) + y.sum())
-    i = int(np.argmax(f1))
+    i = int(np.argmax(np.cumsum(np.where(y, 1, -1))))
     low = s[i + 1] if i + 1 < len(s) and np.isfinite(s[i + 1]) else s[i] - 0.2
     return float((s[i] + low) / 2)
 
@@ -318,11 +377,13 @@ def score(documents: DataFrame, scorer: Scorer) -> DataFrame:
         for b in batches:
             ids, cats, vals, found = [], [], [], []
             for i, t in zip(b["doc_id"], b["text"]):
-                for c, v in sc.document(t).items():
+                got = sc.document(t)
+                for c in CATEGORIES:
+                    v = got.get(c, -np.inf)
                     ids.append(i)
                     cats.append(c)
                     vals.append(float(v) if np.isfinite(v) else None)
                     found.append(bool(v >= sc.thresholds.get(c, np.inf)))
-            yield pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "category": cats, "score": pd.array(vals, "Float64"), "found": found})
+            yield pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "category": pd.Series(cats, dtype=object), "score": pd.array(vals, "Float64"), "found": pd.array(found, "boolean")})
 
     return documents.select("doc_id", "text").distinct().mapInPandas(run, "doc_id long, category string, score double, found boolean")
