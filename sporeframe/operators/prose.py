@@ -27,9 +27,25 @@ def sections(df: DataFrame, key: str, order: str, start: Column) -> DataFrame:
     return df.withColumn("section", F.sum(F.when(start, 1).otherwise(0)).over(W.partitionBy(key).orderBy(order).rowsBetween(W.unboundedPreceding, 0)))
 
 
-def carry(df: DataFrame, key: Sequence[str], order: str, value: Column, name: str) -> DataFrame:
-    """The last present value up to each row."""
-    return df.withColumn(name, F.last(value, ignorenulls=True).over(W.partitionBy(*key).orderBy(order).rowsBetween(W.unboundedPreceding, 0)))
+def carry(df: DataFrame, key: Sequence[str], order: str, value: Column, name: str, block: Column | None = None) -> DataFrame:
+    """The last present value up to each row.
+
+    ``block`` is a bounded, order-preserving part of the order column (a day, a range of row numbers): values
+    are carried inside blocks, and the blocks' last values from block to block, so that no task sorts more
+    than a block of one key or its list of blocks. ``value`` and ``order`` must be unique inside a key.
+    """
+    keys = list(key)
+    if block is None:
+        return df.withColumn(name, F.last(value, ignorenulls=True).over(W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, 0)))
+    x = df.withColumn("_b", block).withColumn("_v", value)
+    inner = F.last("_v", ignorenulls=True).over(W.partitionBy(*keys, "_b").orderBy(order).rowsBetween(W.unboundedPreceding, 0))
+    ends = x.groupBy(*keys, "_b").agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col(order))).alias("_e"))
+    before = ends.withColumn("_p", F.last("_e", ignorenulls=True).over(W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, -1))).drop("_e")
+    before = before.select("_p", F.col("_b").alias("_b2"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    on = F.col("_b").eqNullSafe(F.col("_b2"))
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return x.withColumn("_i", inner).join(before, on, "left").select(*df.columns, F.coalesce("_i", "_p").alias(name))
 
 
 def series_codes(c: Column) -> Column:
@@ -39,12 +55,13 @@ def series_codes(c: Column) -> Column:
 
 
 def asof(left: DataFrame, right: DataFrame, key: str, at: str, columns: Sequence[str]) -> DataFrame:
-    """Each left row with the columns of the last right row at or before it, by union and one window; no range join."""
+    """Each left row with the columns of the last right row at or before it: a union and values carried day by day; no range join."""
     names = [c for c in left.columns if c not in (key, at)]
     right = right.dropna(subset=[key, at]).select(key, at, F.lit(0).alias("_s"), *[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in names], F.struct(*columns).alias("_r"))
     rows = left.withColumn("_s", F.lit(1)).withColumn("_r", F.lit(None).cast(right.schema["_r"].dataType)).unionByName(right)
-    w = W.partitionBy(key).orderBy(at, "_s").rowsBetween(W.unboundedPreceding, 0)
-    return rows.withColumn("_r", F.last("_r", ignorenulls=True).over(w)).filter("_s = 1").select(key, at, *names, *[F.col(f"_r.{c}").alias(f"last_{c}") for c in columns])
+    day = F.to_date(at) if dict(left.dtypes)[at].startswith("timestamp") else F.floor(F.col(at) / 65536)
+    got = carry(rows.withColumn("_o", F.struct(at, "_s")), [key], "_o", F.col("_r"), "_l", day)
+    return got.filter("_s = 1").select(key, at, *names, *[F.col(f"_l.{c}").alias(f"last_{c}") for c in columns])
 
 
 def merge_pairs(first: DataFrame, second: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

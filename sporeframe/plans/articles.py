@@ -69,18 +69,26 @@ def title_parse(spark, sf):
 
 
 def title_jaccard(spark, sf):
-    """Article titles of one journal and year that share at least 60 % of their words."""
+    """Article titles of one journal and year that share at least 60 % of their words.
+
+    Prefix filter: sets that alike share one of each set's rarest words, as many as may be missing plus one.
+    """
     w = F.array_distinct(F.split(F.lower(F.regexp_replace("title", "[^A-Za-z]+", " ")), " +"))
-    a = table(spark, sf, "article").filter("title is not null").select("doi", "journal", "pub_year", w.alias("w"))
-    j = a.alias("a").join(a.alias("b"), (F.col("a.journal") == F.col("b.journal")) & (F.col("a.pub_year") == F.col("b.pub_year")) & (F.col("a.doi") < F.col("b.doi")))
-    s = T.jaccard_sizes(F.col("a.w"), F.col("b.w"))
-    return j.select(F.col("a.doi").alias("doi_a"), F.col("b.doi").alias("doi_b"), s.alias("s")).select("doi_a", "doi_b", "s.common", "s.all").filter("common * 10 >= all * 6")
+    a = table(spark, sf, "article").filter("title is not null and journal is not null and pub_year is not null").select("doi", "journal", "pub_year", w.alias("w"))
+    each = a.select("doi", F.explode("w").alias("t"))
+    often = each.groupBy("t").agg(F.count("*").alias("df"))
+    rare = each.join(often, "t").groupBy("doi").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "t"))), lambda x: x["t"]).alias("r"))
+    head = rare.select("doi", F.explode(F.slice("r", F.lit(1), (F.size("r") - F.ceil(F.size("r") * F.lit(0.6)) + 1).cast("int"))).alias("t")).join(a.select("doi", "journal", "pub_year"), "doi")
+    x, y = head.withColumnRenamed("doi", "doi_a"), head.withColumnRenamed("doi", "doi_b")
+    pairs = x.join(y, ["journal", "pub_year", "t"]).filter("doi_a < doi_b").select("doi_a", "doi_b").distinct()
+    j = pairs.join(a.select(F.col("doi").alias("doi_a"), F.col("w").alias("u")), "doi_a").join(a.select(F.col("doi").alias("doi_b"), F.col("w").alias("v")), "doi_b")
+    return j.select("doi_a", "doi_b", T.jaccard_sizes(F.col("u"), F.col("v")).alias("s")).select("doi_a", "doi_b", "s.common", "s.all").filter("common * 10 >= all * 6")
 
 
 def forward_fill(spark, sf):
     """The species column of an article table with blank cells taking the last species above."""
     t = _rows(spark, sf, "source_doi", "source_table_index", "species")
-    x = prose.carry(t, ["source_doi", "source_table_index"], "row_id", F.when(~absent("species"), F.col("species")), "filled")
+    x = prose.carry(t, ["source_doi", "source_table_index"], "row_id", F.when(~absent("species"), F.col("species")), "filled", F.floor(F.col("row_id") / 65536))
     return x.select("row_id", "filled", absent("species").alias("was_blank"))
 
 
@@ -265,13 +273,48 @@ def chunks_contained(spark, sf):
     return s.filter("num <> ''").join(d, "num").filter(C.chunks_contained(F.col("v"), F.col("w"))).select("supp", "doc")
 
 
+def doi_cascade(spark, sf):
+    """The article of each record: by exact title, by the accession lists, by table rows; the first hit with its method."""
+    a = table(spark, sf, "article")
+    title = a.filter("title is not null").groupBy(F.lower(F.trim("title")).alias("t")).agg(F.min("doi").alias("d"))
+    s = table(spark, sf, "seq_record").filter("gbn is not null").select("seq_no", _acc("gbn").alias("acc"), "title").distinct()
+    by_title = s.select("seq_no", F.explode(C.title_parts(F.col("title"))).alias("x")).select("seq_no", F.lower("x").alias("t")).join(title, "t").groupBy("seq_no").agg(F.min("d").alias("d"))
+    lists = a.select("doi", F.explode("gb_accessions").alias("x")).groupBy(_acc("x").alias("acc")).agg(F.min("doi").alias("d"))
+    rows = table(spark, sf, "gb_table_row").filter("gb_its is not null").groupBy(_acc("gb_its").alias("acc")).agg(F.min("source_doi").alias("d"))
+    by_list, by_row = (s.select("seq_no", "acc").join(x, "acc").groupBy("seq_no").agg(F.min("d").alias("d")) for x in (lists, rows))
+    return frames.priority_fallback(s.select("seq_no").distinct(), "seq_no", [("title", by_title, "d"), ("list", by_list, "d"), ("table", by_row, "d")])
+
+
+def supplement_lookup(spark, sf):
+    """Codes of supplement rows by marker, the first row that gives each."""
+    t = table(spark, sf, "supp_record").select("row_id", F.explode("gb_codes").alias("marker", "code")).distinct()
+    return t.filter(~absent("code")).groupBy(F.lower("marker").alias("marker"), F.upper(F.trim("code")).alias("code")).agg(F.min("row_id").alias("first"), F.count("*").alias("rows"))
+
+
+def hits_by_genus(spark, sf):
+    """Records grouped by genus; the three longest sequences of the first record's species."""
+    t = table(spark, sf, "seq_record").filter(~absent("species")).select("seq_no", "gbn", "species", "bp").distinct().withColumn("genus", C.genus_of(F.col("species"))).filter("genus is not null")
+    first = t.groupBy("genus").agg(F.min_by("species", "seq_no").alias("species"), F.count("*").alias("records"))
+    top = frames.top_per_group(t.drop("genus"), ["species"], [F.desc("bp"), F.col("seq_no")], 3).groupBy("species").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "gbn"))), lambda x: x["gbn"]), "|").alias("hits"))
+    return first.join(top, "species").select("genus", "records", "species", "hits")
+
+
+def store_merge(spark, sf):
+    """Article records with the vouchers of their table rows appended to the list, old ones first."""
+    g = _rows(spark, sf, "source_doi", "voucher").filter(~absent("voucher")).groupBy(F.col("source_doi").alias("doi")).agg(F.array_sort(F.collect_set("voucher")).alias("more"))
+    none = F.array().cast("array<string>")
+    a = table(spark, sf, "article").select("doi", F.coalesce("vouchers_found", none).alias("own")).join(g, "doi", "left")
+    both = F.array_union("own", F.coalesce("more", none))
+    return a.select("doi", F.size(both).alias("n"), F.size(F.array_except(F.coalesce("more", none), F.col("own"))).alias("added"))
+
+
 def batch_ids(spark, sf):
     """Accession numbers in batches of 200 by record number."""
     s = table(spark, sf, "seq_record").select("seq_no", "gbn").distinct()
     return frames.chunks(s, "seq_no", "gbn", 200)
 
 
-QUERIES = {f.__name__: f for f in (article_rollup, article_lookup, article_of_accession, article_stats, doi_names, species_union, title_parse, title_jaccard, forward_fill, unanimous_fill, first_non_missing_merge, long_table_fields, transpose_tables, expand_merged, resolve_alias_chain, trailing_country, locality_trim, country_cascade, typification_split, merge_types, tax_status, rank_filter, protologue, inherit_base, new_only, registry_upsert, type_from_registry, recovery_rollup, pairs_confidence, confidence_summary, gold_summary, chunks_contained, batch_ids)}
+QUERIES = {f.__name__: f for f in (article_rollup, article_lookup, article_of_accession, article_stats, doi_names, species_union, title_parse, title_jaccard, forward_fill, unanimous_fill, first_non_missing_merge, long_table_fields, transpose_tables, expand_merged, resolve_alias_chain, trailing_country, locality_trim, country_cascade, typification_split, merge_types, tax_status, rank_filter, protologue, inherit_base, new_only, registry_upsert, type_from_registry, recovery_rollup, pairs_confidence, confidence_summary, gold_summary, chunks_contained, doi_cascade, supplement_lookup, hits_by_genus, store_merge, batch_ids)}
 
 _SET = lambda c, n: f"coalesce(string_agg(distinct {c}, ' | ' order by {c}) filter (where not {sql_absent(c)}), '') as {n}"
 _N4 = lambda c: f"upper(regexp_replace({c}, '[\\s:/\\-.,;()\\[\\]{{}}]', '', 'g'))"
@@ -328,5 +371,16 @@ SQL = {
     "gold_summary": f"with {_PAIRS}, g as (select doc, code, min(country) as g from b group by all having count(distinct country) = 1) select case when g is null then 'not_in_gold' when g = country then 'match' else 'mismatch' end as status, count(*) as n from a left join g using (doc, code) group by 1",
     "chunks_contained": """with s as (select distinct row_id as supp, voucher as v, regexp_extract(voucher, '(\\d+)\\D*$', 1) as num from supp_record), d as (select distinct row_id as doc, voucher as w, regexp_extract(voucher, '(\\d+)\\D*$', 1) as num from doc_row)
       select supp, doc from s join d using (num) where num <> '' and len(regexp_extract_all(v, '[A-Za-z]+')) > 0 and len(list_filter(list_concat(regexp_extract_all(v, '[A-Za-z]+'), regexp_extract_all(v, '[0-9]+')), lambda x: not contains(lower(w), lower(x)))) = 0""",
+    "doi_cascade": f"""with s as (select distinct seq_no, {_VERSIONLESS('gbn')} as acc, title from seq_record where gbn is not null),
+      t as (select seq_no, min(d) as d from (select seq_no, lower(trim(unnest(string_split(title, '|')))) as x from s) join (select lower(trim(title)) as x, min(doi) as d from article group by 1) using (x) where x <> '' and x <> 'direct submission' group by 1),
+      l as (select seq_no, min(d) as d from s join (select {_VERSIONLESS('x')} as acc, min(doi) as d from (select doi, unnest(gb_accessions) as x from article) group by 1) using (acc) group by 1),
+      r as (select seq_no, min(d) as d from s join (select {_VERSIONLESS('gb_its')} as acc, min(source_doi) as d from gb_table_row where gb_its is not null group by 1) using (acc) group by 1)
+      select seq_no, coalesce(t.d, l.d, r.d) as value, case when t.d is not null then 'title' when l.d is not null then 'list' else 'table' end as method from (select distinct seq_no from s) left join t using (seq_no) left join l using (seq_no) left join r using (seq_no) where coalesce(t.d, l.d, r.d) is not null""",
+    "supplement_lookup": f"select lower(e.key) as marker, upper(trim(e.value)) as code, min(row_id) as first, count(*) as rows from (select distinct row_id, e from (select row_id, unnest(map_entries(gb_codes)) as e from supp_record)) where not {sql_absent('e.value')} group by 1, 2",
+    "hits_by_genus": f"""with t as (select * from (select distinct seq_no, gbn, species, bp, split_part(trim(species), ' ', 1) as genus from seq_record where not {sql_absent('species')}) where length(genus) >= 3 and not ends_with(genus, '.')),
+      p as (select species, string_agg(gbn, '|' order by r) as hits from (select *, row_number() over (partition by species order by bp desc, seq_no) as r from t) where r <= 3 group by 1)
+      select genus, records, species, hits from (select genus, arg_min(species, seq_no) as species, count(*) as records from t group by 1) join p using (species)""",
+    "store_merge": f"""select a.doi, (len(list_distinct(list_concat(o, coalesce(m, [])))) + (case when len(list_filter(o, lambda x: x is null)) > 0 then 1 else 0 end))::int as n, len(list_filter(coalesce(m, []), lambda x: not list_contains(o, x)))::int as added
+      from (select doi, coalesce(vouchers_found, []) as o from article) a left join (select source_doi as doi, list(distinct voucher) as m from gb_table_row where not {sql_absent('voucher')} group by 1) using (doi)""",
     "batch_ids": "select chunk, count(*) as n, arg_min(gbn, seq_no) as first, arg_max(gbn, seq_no) as last from (select seq_no, gbn, ((row_number() over (order by seq_no) - 1) // 200)::bigint as chunk from (select distinct seq_no, gbn from seq_record)) group by 1",
 }

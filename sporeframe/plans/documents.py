@@ -91,7 +91,7 @@ def accession_in_section(spark, sf):
 def carry_country(spark, sf):
     """Events of a user with the last purchase value so far."""
     t = table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type", "value")
-    return prose.carry(t, ["user_id"], "ts", F.when(F.col("event_type") == "purchase", F.col("value")), "carried").select("event_id", "carried")
+    return prose.carry(t, ["user_id"], "ts", F.when(F.col("event_type") == "purchase", F.col("value")), "carried", F.to_date("ts")).select("event_id", "carried")
 
 
 def asof_header(spark, sf):
