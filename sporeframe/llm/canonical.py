@@ -183,7 +183,8 @@ def pigeonhole(left: DataFrame, right: DataFrame, k: int = EDITS) -> DataFrame:
     )
     probes = lens.select("text", "len", F.explode(F.array_distinct(at)).alias("g")).select("text", "len", "g.i", "g.s").filter("s is not null")
     long = probes.join(segs, ["len", "i", "s"]).select("text", "key").distinct()
-    short = right.filter(rl <= k).select("key").join(left.filter((tl <= 2 * k)).select("text"), F.abs(F.length("key") - F.length("text")) <= k)
+    # keys too short to cut meet texts of a fitting length
+    short = right.filter(rl <= k).select("key", F.explode(F.sequence(F.greatest(F.lit(0), rl - k), rl + k)).alias("len")).join(left.filter(tl <= 2 * k).select("text", tl.alias("len")), "len")
     return long.union(short.select("text", "key")).withColumn("d", F.levenshtein("text", "key")).filter(F.col("d") <= k)
 
 

@@ -79,9 +79,11 @@ def pack(items: DataFrame, key: str, size: str, capacities: DataFrame, block_row
     """
     spark = items.sparkSession
     stages = Stages(spark, "packing")
-    caps = capacities.select("size_name", F.col("capacity_tokens").cast("long").alias("cap")).filter("cap > 0").distinct()
+    # the list of capacities is a parameter
+    caps = capacities.select("size_name", F.col("capacity_tokens").cast("long").alias("cap")).filter("cap > 0").distinct().collect()
+    each = F.array(*[F.struct(F.lit(r["size_name"]).alias("size_name"), F.lit(r["cap"]).cast("long").alias("cap")) for r in caps]) if caps else F.array().cast("array<struct<size_name: string, cap: bigint>>")
     sized = stages.cut(items.select(F.col(key).alias("k"), F.greatest(F.coalesce(F.col(size).cast("long"), F.lit(0)), F.lit(0)).alias("len")).distinct())
-    one = sized.crossJoin(F.broadcast(caps))  # a row a capacity; the list of capacities is a parameter
+    one = sized.select("k", "len", F.explode(each).alias("c")).select("k", "len", "c.*")
     cut = one.select("size_name", "cap", "k", "len", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.greatest(F.col("len") - 1, F.lit(0)) / F.col("cap")))).alias("piece"))
     pieces = cut.select("size_name", "cap", "k", "piece", (F.col("piece") * F.col("cap")).alias("start"), F.least(F.col("cap"), F.col("len") - F.col("piece") * F.col("cap")).alias("n"))
     blocks = max(1, sized.count() // block_rows)
