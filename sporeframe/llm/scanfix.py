@@ -111,9 +111,11 @@ def _shape(line: str) -> list[str]:
         f"gap={'  ' in x}",
         f"copy={'©' in x}",
         f"year={bool(re.search(r'[(]?[12][0-9]{3}[)]?', x))}",
+        f"issue={bool(re.search(r'[a-zA-Z] [0-9]+ [(][12][0-9]{3}[)](  *[0-9]+)?$', x))}",
         f"vol={bool(re.search(r'vol[.]|no[.]', x, re.I))}",
         f"dash={bool(re.search(r' [—–] |:', x))}",
-        f"etal={bool(re.search(r'et al[.]', x, re.I))}",
+        f"etal={bool(re.search(r'et al[.]|et a1[.]', x, re.I))}",
+        f"joint={bool(re.search(r'(?<=[a-z] )(AND|OF)(?= [A-Z])', x)) or bool(re.search(r'&.*:', x))}",
         f"cont={bool(re.search(r'contin|table', x, re.I))}",
         f"n={min(len(words), 7)}",
     ]
@@ -157,9 +159,9 @@ def _seed(feats: list[str]) -> str | None:
     f = dict(x.split("=", 1) for x in feats if not x.startswith("w="))
     if f["page"] == "True":
         return "page_no"
-    if f["own"] == "True":
+    if f["own"] == "True" or (f["end"] == "stop" and "True" not in (f["etal"], f["cont"])):
         return "body"
-    strong = "True" in (f["copy"], f["etal"], f["cont"], f["vol"]) or (f["caps"] == "True" and int(f["n"]) >= 2) or (f["gap"] == "True" and int(f["n"]) >= 3)
+    strong = "True" in (f["joint"], f["issue"], f["copy"], f["etal"], f["cont"], f["vol"]) or (f["caps"] == "True" and int(f["n"]) >= 2) or (f["gap"] == "True" and int(f["n"]) >= 3)
     if f["short"] == "True" and f["cut"] == "True" and f["start"] != "low" and f["end"] not in ("comma", "hyph") and (f["near"] == "True" or strong):
         return "header"
     if f["cont"] == "True" and f["start"] == "up" and int(f["n"]) <= 3 or strong and f["row"] == "True" and f["start"] != "low" and f["end"] != "hyph":
