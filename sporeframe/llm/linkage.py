@@ -148,7 +148,7 @@ def link(docs: DataFrame, supps: DataFrame, countries: DataFrame | None = None,
     z = F.lit(w[0])
     for f, v in zip(FEATURES, w[1:]):
         z = z + v * F.col(f)
-    mutual = F.col("first") & (F.col("back") >= near) & ((F.col("species") > 0) | F.col("same"))
+    mutual = F.col("first") & (F.col("back") >= near) & ((F.col("species") > 0) | F.col("same") | ((F.col("species") == 0) & (F.col("country") >= 0)))
     # the confidence never contradicts the test that decides
     conf = F.round(1 / (1 + F.exp(-z)), 4)
     return pair.filter(mutual).withColumn("confidence", conf).groupBy("doc_row_id", "supp_row_id").agg(F.max("confidence").alias("confidence"))
