@@ -130,4 +130,31 @@ def p10_source_rates(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {"p1_found": p1_found, "p1_unmatched": p1_unmatched, "p2_found": p2_found, "p2_precedences": p2_precedences, "p3_found": p3_found, "p3_links": p3_links, "p5_found": p5_found, "p5_group_sizes": p5_group_sizes, "p6_found": p6_found, "p6_text": p6_text, "p8_ids": p8_ids, "p8_token_counts": p8_token_counts, "p9_packed": p9_packed, "p9_waste": p9_waste, "p10_found": p10_found, "p10_scores": p10_scores, "p10_source_rates": p10_source_rates}
 
-SQL: dict[str, str] = {}
+
+def _p2_sql() -> str:
+    fields = []
+    for f in ("species", "voucher", "country"):
+        if f == "species":
+            words = "string_split(regexp_replace(regexp_replace(v, '\\s+', ' ', 'g'), ' (cf|aff|nr|subsp|ssp|var|f)\\.? ', ' ', 'g'), ' ')"
+            bad = f"(regexp_matches(v, '^\\pL{{1,4}}\\.') or len({words}) < 2 or regexp_replace({words}[2], '\\.$', '') in ('sp', 'spp', 'species', 'cf', 'aff', 'nr', 'gen', 'indet', 'nov'))"
+        elif f == "voucher":
+            bad = "not (regexp_matches(v, '\\pL') and regexp_matches(v, '\\pN'))"
+        else:
+            bad = "false"
+        fields.append(f"""{f}_v as (select source_doi, acc, v, max((c, extracted_at, -row_id)) as b, {bad} as bad from (select *, regexp_replace({f}, '^\\s+|\\s+$', '', 'g') as v from r where not {sql_absent(f)}) group by source_doi, acc, v),
+      {f}_b as (select source_doi, acc, arg_max(v, (ok, b)) as {f} from (select x.*, not x.bad and not exists (from {f}_v y where y.source_doi = x.source_doi and y.acc = x.acc and length(y.v) > length(x.v) and starts_with(lower(y.v), lower(x.v))) as ok from {f}_v x) group by 1, 2)""")
+    return f"""with r as (select distinct row_id, source_doi, upper(regexp_replace(regexp_replace(gb_its, '\\s+', '', 'g'), '\\.\\d+$', '')) as acc, species, voucher, country, extracted_at,
+        case lower(trim(confidence)) when 'high' then 3 when 'medium' then 2 when 'low' then 1 else 0 end as c from gb_table_row where not {sql_absent('gb_its')} and source_doi is not null),
+      g as (select source_doi, acc, min(row_id) as group_id from r group by 1, 2 having count(distinct row_id) > 1), {', '.join(fields)}
+      select group_id, coalesce(species, '') as species, coalesce(voucher, '') as voucher, coalesce(country, '') as country from g
+      left join species_b using (source_doi, acc) left join voucher_b using (source_doi, acc) left join country_b using (source_doi, acc)"""
+
+
+_P5 = """with recursive ids as materialized (select distinct seq_no from seq_record), p as materialized (select distinct seq_no_a as a, seq_no_b as b from code_match where seq_no_a <> seq_no_b and seq_no_a in (from ids) and seq_no_b in (from ids)),
+  e as materialized (select a, b from p union select b, a from p), r as (select a as x, a as l from e union select e.b, r.l from r join e on e.a = r.x where r.l < e.b), c as (select x as seq_no, min(l) as group_id from r group by 1)"""
+
+SQL: dict[str, str] = {
+    "p2_found": _p2_sql(),
+    "p5_found": f"{_P5} select seq_no, group_id from c",
+    "p5_group_sizes": f"{_P5} select size, count(*) as groups from (select group_id, count(*) as size from c group by 1) group by 1",
+}
