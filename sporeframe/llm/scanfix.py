@@ -212,7 +212,7 @@ def _margin(model: Perceptron, feats: list[str], place: bool = True) -> float:
 
 
 def is_header(model: Perceptron, line: str, feats: list[str]) -> bool:
-    return not line.lstrip()[:1].islower() and (_margin(model, feats) > 0 or _margin(model, feats, False) > model.bar)
+    return "own=True" not in feats and not line.lstrip()[:1].islower() and (_margin(model, feats) > 0 or _margin(model, feats, False) > model.bar)
 
 
 # ---- characters --------------------------------------------------------------------------------------
@@ -321,6 +321,16 @@ def readings(model: Perceptron, w: str, most: int = 24) -> list[tuple[str, float
     return sorted(done.items(), key=lambda x: -x[1])[:most]
 
 
+def as_code(t: str) -> str:
+    """The reading of a code or number in which every letter among its digits is the digit that it looks like."""
+    m = re.match(r"^([A-Za-z]{2})?(?=[0-9A-Za-z]{5,9}$)", t)
+    head = m[1] or "" if m and not t[2:3].isalpha() else t[:2] if m and m[1] and m[1].isupper() else ""
+    return head + t[len(head) :].translate(_DIGIT_OF)
+
+
+_DIGIT_OF = str.maketrans({seen: true for true, seen in reversed(DIGITS)})
+
+
 # ---- rows --------------------------------------------------------------------------------------------
 
 
@@ -377,7 +387,7 @@ def parse_block(model: Perceptron, lines: list[str], own: set[str] = frozenset()
 
 def _rows(df: DataFrame, name: str, key: str, lines, own=()) -> DataFrame:
     values = F.array_compact(F.array(*[F.lower(F.trim(c)) for c in own])) if own else F.array().cast("array<string>")
-    return df.select(F.lit(name).alias("field_name"), F.col(key).cast("string").alias("row_key"), lines.alias("lines"), values.alias("own")).filter("lines is not null and size(lines) > 0").distinct()
+    return df.select(F.lit(name).alias("field_name"), F.col(key).cast("string").alias("row_key"), lines.alias("lines"), values.alias("own")).filter("lines is not null and size(lines) > 0")
 
 
 class Repair:
@@ -387,7 +397,7 @@ class Repair:
         spark = rows.sparkSession
         self.stages = Stages(spark, "scanfix")
         sample = rows.orderBy(F.xxhash64("field_name", "row_key"), "row_key").limit(SAMPLE).collect()
-        blocks = [([x or "" for x in r["lines"]], set(r["own"])) for r in sample]
+        blocks = [([x or "" for x in r["lines"]], set(r["own"])) for r in {(r["field_name"], r["row_key"]): r for r in sample}.values()]
         self.lines = train_lines(blocks)
         words: Counter = Counter()
         for b, own in blocks:
@@ -410,7 +420,7 @@ class Repair:
 
         # Python work a row is heavy for its bytes: as many tasks as the session shuffles into
         tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.parsed = self.stages.cut(rows.repartition(tasks, "field_name", "row_key").mapInPandas(parse, "field_name string, row_key string, furniture array<struct<kind: string, item: string>>, tokens array<string>, bare array<string>"))
+        self.parsed = self.stages.cut(rows.repartition(tasks, "field_name", "row_key").distinct().mapInPandas(parse, "field_name string, row_key string, furniture array<struct<kind: string, item: string>>, tokens array<string>, bare array<string>"))
         each = self.parsed.select("field_name", "row_key", F.explode("bare").alias("t"))
         count = each.groupBy(F.lower("t").alias("low")).agg(F.count("*").alias("n"))
         self.count = self.stages.cut(count)
@@ -424,7 +434,10 @@ class Repair:
                     broken, bad = BREAK in t, odd(t)
                     if not (broken or bad or t[-1:].isalpha() or any(not c.isascii() for c in t)):
                         continue
-                    for k, (r, s) in enumerate(readings(em, t)):
+                    offers = readings(em, t)
+                    if bad and (r := as_code(t)) not in dict(offers):
+                        offers.append((r, offers[-1][1] if offers else 0.0))
+                    for k, (r, s) in enumerate(offers):
                         if r != t:
                             for c, v in zip(("t", "n", "odd", "low", "score", "place"), (t, n, bad, r.lower(), float(s), k)):
                                 out[c].append(v)

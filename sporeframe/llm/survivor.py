@@ -8,8 +8,8 @@ before the earliest dated value that it precedes, else after the latest dated va
 undated values among themselves go by how many values of the group precede them, so that the
 topologically latest one is the most current. Undated values without any learned relation come last.
 
-Values are aggregated by (group, field, value) first. Histories are cut by day and stitched, so no task
-sorts more than a day of one group; whether a value begins a longer one is found by an equi-join on its
+Values are aggregated by (group, field, value) first. Histories are cut by hour and stitched, so no task
+sorts more than an hour of one group; whether a value begins a longer one is found by an equi-join on its
 prefixes of those lengths that occur in the group, never by comparing all pairs of a group.
 """
 
@@ -47,12 +47,12 @@ def never(c: Column) -> Column:
 def _history(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Each dated row (keys, value, ts, id) with the value that follows it in its group, if any."""
     order = [F.col("ts"), F.col("id")]
-    day = W.partitionBy(*keys, "day").orderBy(*order)
-    rows = rows.filter("ts is not null").withColumn("day", F.to_date("ts"))
-    inner = rows.withColumn("next", F.lead(F.struct("value")).over(day))
-    first = rows.groupBy(*keys, "day").agg(F.min_by(F.struct("value"), F.struct("ts", "id")).alias("first"))
-    after = first.withColumn("then", F.lead("first").over(W.partitionBy(*keys).orderBy("day"))).drop("first")
-    return inner.join(after, [*keys, "day"]).select(*keys, "value", F.coalesce("next", "then").alias("next")).filter("next is not null").select(*keys, "value", F.col("next.value").alias("next"))
+    hour = W.partitionBy(*keys, "hour").orderBy(*order)
+    rows = rows.filter("ts is not null").withColumn("hour", F.date_trunc("hour", "ts"))
+    inner = rows.withColumn("next", F.lead(F.struct("value")).over(hour))
+    first = rows.groupBy(*keys, "hour").agg(F.min_by(F.struct("value"), F.struct("ts", "id")).alias("first"))
+    after = first.withColumn("then", F.lead("first").over(W.partitionBy(*keys).orderBy("hour"))).drop("first")
+    return inner.join(after, [*keys, "hour"]).select(*keys, "value", F.coalesce("next", "then").alias("next")).filter("next is not null").select(*keys, "value", F.col("next.value").alias("next"))
 
 
 def precedences(rows: DataFrame, keys: Sequence[str]) -> DataFrame:

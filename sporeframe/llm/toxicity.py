@@ -340,7 +340,8 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: in
     """
     votes = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), *[F.count_if((F.col("toxic") == 1) & (F.lower(F.trim("category")) == c)).alias(c) for c in CATEGORIES])
     rated = votes.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = rated.join(documents.select("doc_id", "text").dropDuplicates(["doc_id"]), "doc_id").orderBy("doc_id")
+    # at most `sample` ratings go to the documents, so that only rated texts move
+    rows = documents.select("doc_id", "text").join(F.broadcast(rated), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id")
     read = [(sentences(r["text"]), {c for c in CATEGORIES if 2 * r[c] >= r["n"]}) for r in rows.toLocalIterator()]
     freq = Counter(w for ss, _ in read for w in {w for s in ss for w in s})
     words = {w: i + 2 for i, w in enumerate(sorted(w for w, n in freq.items() if n > 1 or w in _SEEDS))}
@@ -386,4 +387,5 @@ def score(documents: DataFrame, scorer: Scorer) -> DataFrame:
                     found.append(bool(v >= sc.thresholds.get(c, np.inf)))
             yield pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "category": pd.Series(cats, dtype=object), "score": pd.array(vals, "Float64"), "found": pd.array(found, "boolean")})
 
-    return documents.select("doc_id", "text").distinct().mapInPandas(run, "doc_id long, category string, score double, found boolean")
+    # repeated rows are dropped after scoring, when they are small
+    return documents.select("doc_id", "text").mapInPandas(run, "doc_id long, category string, score double, found boolean").distinct()
