@@ -10,7 +10,7 @@ from ..functions import codes as C
 from ..functions import registry as R
 from ..functions import text as T
 from ..functions.missing import absent, missing, sql_absent
-from ..operators import frames, matrix, prose
+from ..operators import frames, matrix, prose, unpack
 from ..session import table
 
 _MISS = lambda c: f"(coalesce(lower(trim({c})), '') in ('', 'nan', 'none'))"
@@ -37,9 +37,15 @@ def article_lookup(spark, sf):
     return t.groupBy("accession").agg(F.min_by(F.struct("source_doi", "species", "voucher", "country"), F.struct("source_doi", "row_id")).alias("m")).select("accession", "m.*")
 
 
+def _listed(spark, sf):
+    """``(accession, doi)``: the accessions of each article's list, packed elements split; versions aside."""
+    x = unpack.unpack(table(spark, sf, "article"), "article.gb_accessions", "doi", "gb_accessions", "codes", 1)
+    return x.filter("row_key is not null").select(_acc("item").alias("accession"), F.col("row_key").alias("doi"))
+
+
 def article_of_accession(spark, sf):
-    """Accessions of the sequence records with the first article whose list holds them; versions aside."""
-    a = table(spark, sf, "article").select("doi", F.explode("gb_accessions").alias("x")).filter("x rlike '^[A-Z]{1,2}[0-9]{5,8}([.][0-9]+)?$'").select(_acc("x").alias("accession"), "doi")
+    """Accessions of the sequence records with the first article whose list holds them, alone or packed with others; versions aside."""
+    a = _listed(spark, sf)
     s = table(spark, sf, "seq_record").filter("gbn is not null").select(_acc("gbn").alias("accession")).distinct()
     return s.join(a.groupBy("accession").agg(F.min("doi").alias("doi")), "accession")
 
@@ -279,7 +285,7 @@ def doi_cascade(spark, sf):
     title = a.filter("title is not null").groupBy(F.lower(F.trim("title")).alias("t")).agg(F.min("doi").alias("d"))
     s = table(spark, sf, "seq_record").filter("gbn is not null").select("seq_no", _acc("gbn").alias("acc"), "title").distinct()
     by_title = s.select("seq_no", F.explode(C.title_parts(F.col("title"))).alias("x")).select("seq_no", F.lower("x").alias("t")).join(title, "t").groupBy("seq_no").agg(F.min("d").alias("d"))
-    lists = a.select("doi", F.explode("gb_accessions").alias("x")).groupBy(_acc("x").alias("acc")).agg(F.min("doi").alias("d"))
+    lists = _listed(spark, sf).groupBy(F.col("accession").alias("acc")).agg(F.min("doi").alias("d"))
     rows = table(spark, sf, "gb_table_row").filter("gb_its is not null").groupBy(_acc("gb_its").alias("acc")).agg(F.min("source_doi").alias("d"))
     by_list, by_row = (s.select("seq_no", "acc").join(x, "acc").groupBy("seq_no").agg(F.min("d").alias("d")) for x in (lists, rows))
     return frames.priority_fallback(s.select("seq_no").distinct(), "seq_no", [("title", by_title, "d"), ("list", by_list, "d"), ("table", by_row, "d")])
