@@ -25,15 +25,27 @@ def _acc(c):
     return F.upper(C.without_version(F.trim(c)))
 
 
+#: Columns of an article table row that hold accessions.
+_GB = ("gb_its", "gb_lsu", "gb_ssu", "gb_tef1", "gb_rpb1", "gb_rpb2", "gb_beta_tubulin")
+
+
+def _cells():
+    """The distinct accessions of a row's gene columns; case, blanks and version aside. Cells without a digit (dashes, fillers) hold none."""
+    x = F.transform(F.array(*_GB), lambda c: F.upper(C.without_version(F.regexp_replace(c, r"\s+", ""))))
+    return F.array_distinct(F.filter(x, lambda c: c.rlike("[0-9]")))
+
+
 def article_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    """For each article: distinct species, vouchers and countries of its rows, and its accessions."""
-    t = _rows(spark, sf, "source_doi", "species", "voucher", "country", "gb_its")
-    return t.groupBy("source_doi").agg(matrix.joined_set(F.col("species")).alias("species"), matrix.joined_set(F.col("voucher")).alias("vouchers"), matrix.joined_set(F.col("country")).alias("countries"), F.count_distinct(_acc("gb_its")).alias("accessions"), F.count("*").alias("rows"))
+    """For each article: distinct species, vouchers and countries of its rows, and the accessions of all genes."""
+    t = _rows(spark, sf, "source_doi", "species", "voucher", "country", *_GB).withColumn("accs", _cells())
+    g = t.groupBy("source_doi").agg(matrix.joined_set(F.col("species")).alias("species"), matrix.joined_set(F.col("voucher")).alias("vouchers"), matrix.joined_set(F.col("country")).alias("countries"), F.count("*").alias("rows"))
+    n = t.select(F.col("source_doi").alias("d"), F.explode("accs").alias("a")).groupBy("d").agg(F.count_distinct("a").alias("n"))
+    return g.join(n, F.col("source_doi").eqNullSafe(F.col("d")), "left").select("source_doi", "species", "vouchers", "countries", F.coalesce("n", F.lit(0)).alias("accessions"), "rows")
 
 
 def article_lookup(spark, sf):
-    """The first article (by doi) and the first row of it that hold an accession."""
-    t = _rows(spark, sf, "source_doi", "gb_its", "species", "voucher", "country").filter("gb_its is not null and source_doi is not null").withColumn("accession", _acc("gb_its"))
+    """The first article (by doi) and the first row of it that hold an accession in any gene column."""
+    t = _rows(spark, sf, "source_doi", "species", "voucher", "country", *_GB).filter("source_doi is not null").withColumn("accession", F.explode(_cells()))
     return t.groupBy("accession").agg(F.min_by(F.struct("source_doi", "species", "voucher", "country"), F.struct("source_doi", "row_id")).alias("m")).select("accession", "m.*")
 
 
@@ -286,7 +298,7 @@ def doi_cascade(spark, sf):
     s = table(spark, sf, "seq_record").filter("gbn is not null").select("seq_no", _acc("gbn").alias("acc"), "title").distinct()
     by_title = s.select("seq_no", F.explode(C.title_parts(F.col("title"))).alias("x")).select("seq_no", F.lower("x").alias("t")).join(title, "t").groupBy("seq_no").agg(F.min("d").alias("d"))
     lists = _listed(spark, sf).groupBy(F.col("accession").alias("acc")).agg(F.min("doi").alias("d"))
-    rows = table(spark, sf, "gb_table_row").filter("gb_its is not null").groupBy(_acc("gb_its").alias("acc")).agg(F.min("source_doi").alias("d"))
+    rows = table(spark, sf, "gb_table_row").filter("source_doi is not null").select("source_doi", F.explode(_cells()).alias("acc")).groupBy("acc").agg(F.min("source_doi").alias("d"))
     by_list, by_row = (s.select("seq_no", "acc").join(x, "acc").groupBy("seq_no").agg(F.min("d").alias("d")) for x in (lists, rows))
     return frames.priority_fallback(s.select("seq_no").distinct(), "seq_no", [("title", by_title, "d"), ("list", by_list, "d"), ("table", by_row, "d")])
 

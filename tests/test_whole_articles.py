@@ -21,3 +21,21 @@ def test_packed_lists(spark, tmp_path):
     want = {1: "d2", 2: "d2", 3: "d1", 4: "d1", 5: "d1", 6: "d1"}
     assert {r.accession: r.doi for r in articles.article_of_accession(spark, sf).collect()} == {f"ZQ0000000{i}": d for i, d in want.items()}
     assert {r.seq_no: (r.value, r.method) for r in articles.doi_cascade(spark, sf).collect()} == {i: (d, "list") for i, d in want.items()}
+
+
+def test_all_gene_columns(spark, tmp_path):
+    sf = str(tmp_path)
+    lists(spark, sf)
+    rows = [
+        (1, "A b", "V 1", "Chile", "zq 00000007.1", "ZQ00000008", "-", "", None, None, "ZQ00000010", "d5"),
+        (1, "A b", "V 1", "Chile", "zq 00000007.1", "ZQ00000008", "-", "", None, None, "ZQ00000010", "d5"),
+        (2, "A c", "V 2", "Peru", None, " ZQ00000007", "-", "ZQ00000011", "ZQ00000012", "ZQ00000013", None, "d4"),
+        (3, "A d", "V 3", "Peru", None, "-", "", None, None, None, None, "d3"),
+        (4, "A e", "V 4", "Peru", None, None, None, None, None, None, "ZQ00000008", None),
+    ]
+    put(spark, sf, "gb_table_row", rows, ROW)
+    got = {r.accession: (r.source_doi, r.voucher) for r in articles.article_lookup(spark, sf).collect()}
+    assert got == {f"ZQ000000{i:02}": ("d5", "V 1") if i in (8, 10) else ("d4", "V 2") for i in (7, 8, 10, 11, 12, 13)}
+    assert {r.source_doi: (r.accessions, r.rows) for r in articles.article_rollup(spark, sf).collect()} == {"d5": (3, 1), "d4": (4, 1), "d3": (0, 1), None: (1, 1)}
+    table = {r.seq_no: r.value for r in articles.doi_cascade(spark, sf).collect() if r.method == "table"}
+    assert table == {7: "d4", 8: "d5"}
