@@ -285,10 +285,26 @@ def gold_summary(spark, sf):
 
 
 def chunks_contained(spark, sf):
-    """Occurrence test: codes of supplement rows whose letters and digits all occur in a document row's voucher, by number."""
-    s = table(spark, sf, "supp_record").select(F.col("row_id").alias("supp"), F.col("voucher").alias("v"), F.regexp_extract("voucher", r"(\d+)\D*$", 1).alias("num")).distinct()
-    d = table(spark, sf, "doc_row").select(F.col("row_id").alias("doc"), F.col("voucher").alias("w"), F.regexp_extract("voucher", r"(\d+)\D*$", 1).alias("num")).distinct()
-    return s.filter("num <> ''").join(d, "num").filter(C.chunks_contained(F.col("v"), F.col("w"))).select("supp", "doc")
+    """Occurrence test: codes of supplement rows whose letters and digits all occur in a document row's voucher.
+
+    A contained digit run is a part of some digit run of the text, so a code meets every text through the one
+    of its runs that the fewest texts hold, whatever number stands last; distinct texts meet, not rows.
+    """
+    runs = lambda c: F.array_distinct(F.regexp_extract_all(c, F.lit("[0-9]+"), 0))
+    s = table(spark, sf, "supp_record").select(F.col("row_id").alias("supp"), F.col("voucher").alias("v")).filter("v is not null").distinct()
+    d = table(spark, sf, "doc_row").select(F.col("row_id").alias("doc"), F.col("voucher").alias("w")).filter("w is not null").distinct()
+    code = s.select("v").distinct().select("v", F.explode(runs("v")).alias("num"))
+    text = d.select("w").distinct().select("w", F.explode(F.array_distinct(F.flatten(F.transform(runs("w"), _parts)))).alias("num"))
+    text = text.join(code.select("num").distinct(), "num", "left_semi")
+    often = text.groupBy("num").agg(F.count("*").alias("n"))
+    rarest = code.join(often, "num", "left").groupBy("v").agg(F.min_by("num", F.struct(F.coalesce("n", F.lit(0)), "num")).alias("num"))
+    pairs = rarest.join(text, "num").filter(C.chunks_contained(F.col("v"), F.col("w"))).select("v", "w")
+    return s.join(pairs, "v").join(d, "w").select("supp", "doc")
+
+
+def _parts(run):
+    """All substrings of a text."""
+    return F.flatten(F.transform(F.sequence(F.lit(1), F.length(run)), lambda i: F.transform(F.sequence(F.lit(1), F.length(run) - i + 1), lambda n: F.substring(run, i, n))))
 
 
 def doi_cascade(spark, sf):

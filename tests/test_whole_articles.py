@@ -39,3 +39,13 @@ def test_all_gene_columns(spark, tmp_path):
     assert {r.source_doi: (r.accessions, r.rows) for r in articles.article_rollup(spark, sf).collect()} == {"d5": (3, 1), "d4": (4, 1), "d3": (0, 1), None: (1, 1)}
     table = {r.seq_no: r.value for r in articles.doi_cascade(spark, sf).collect() if r.method == "table"}
     assert table == {7: "d4", 8: "d5"}
+
+
+def test_chunks_contained_by_any_number(spark, tmp_path):
+    sf = str(tmp_path)
+    codes = ["#692 Yulvani", "VVLB 2381 / Mbekuno 291", "Brastow 12", "TZMU-F-2018", "2018", "Brastow", None, "Brastow 55"]
+    texts = ["Yulvani 692 (=VVLB 3184)", "Mbekuno 291 (=VVLB 2381)", "BRASTOW 3125", "Phaxton 116:TZMU-F-2018", "Mbekuno 291", None, "Brastow 5 5"]
+    put(spark, sf, "supp_record", [(100 + i, v) for i, v in enumerate(codes)] * 2, "row_id long, voucher string")
+    put(spark, sf, "doc_row", [(i, w) for i, w in enumerate(texts)] * 2, "row_id long, voucher string")
+    got = sorted((r.supp, r.doc) for r in articles.chunks_contained(spark, sf).collect())
+    assert got == [(100, 0), (101, 1), (102, 2), (103, 3)]
