@@ -129,8 +129,8 @@ def rows_of(lines: Iterable[str], countries: frozenset[str]) -> list[dict]:
                 got[f], filled = last[f], True
         names = genes if genes else [f"acc{k + 1}" for k in range(len(block))]
         if len(block) != len(names):
-            active = [a for a in block if not DASH.match(a)]
-            block = active if len(active) <= len(names) else active[: len(names)]
+            block = [a for a in block if not DASH.match(a)]
+            names = [*names, *(f"acc{k + 1}" for k in range(len(names), len(block)))]
         acc = {n: a for n, a in zip(names, block) if not DASH.match(a)}
         if acc:
             level = "low" if not fields else "medium" if filled or how == "typed" else "high"
