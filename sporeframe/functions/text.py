@@ -35,7 +35,7 @@ def ngrams(words: Column, n: int) -> Column:
     return F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))).otherwise(F.array().cast("array<string>"))
 
 
-def context(words: Column, at: Column, around: int, width: int = 1) -> Column:
+def context(words: Column, at: Column, around: int, width: int | Column = 1) -> Column:
     """The words around position ``at`` (from 1)."""
     first = F.greatest(F.lit(1), at - around)
     return F.array_join(F.slice(words, first, at + width + around - first), " ")

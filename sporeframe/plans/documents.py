@@ -58,11 +58,18 @@ def series_expand(spark, sf):
 
 
 def context_window(spark, sf):
-    """Seven words around each herbarium code word in sections."""
+    """35 words on each side of each voucher (``specimens.CODE``) and herbarium code in sections, punctuation aside."""
     w = F.filter(F.split("text", _WS), lambda x: x != "")
     t = _sections(spark, sf).select("section_id", w.alias("w"))
-    e = t.select("section_id", "w", F.posexplode("w").alias("i", "word")).filter("word rlike '^[A-Z]{4}$'")
-    return e.select("section_id", (F.col("i") + 1).alias("at"), T.context(F.col("w"), F.col("i") + 1, 3).alias("context"))
+
+    def hit(word, i):
+        # a voucher whose number is the next word takes both places
+        two = F.concat_ws(" ", word, F.get("w", i + 1)).rlike(r"^\S*" + specimens.CODE.replace(" ?", " "))
+        one = word.rlike(specimens.CODE) | word.rlike(r"\b[A-Z]{4}\b")
+        return F.struct((i + 1).alias("at"), F.when(two, 2).when(one, 1).alias("width"))
+
+    e = t.select("section_id", "w", F.explode(F.filter(F.transform("w", hit), lambda x: x["width"].isNotNull())).alias("h"))
+    return e.select("section_id", "h.at", T.context(F.col("w"), F.col("h.at"), 35, F.col("h.width")).alias("context"))
 
 
 def ngram_counts(spark, sf):
