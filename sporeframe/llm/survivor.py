@@ -5,8 +5,9 @@ then currency. Currency is the time stamp; values without one get their place fr
 on the time-stamped rows: how often value ``a`` was followed by value ``b`` in the history of a group.
 ``a`` precedes ``b`` where that happened more often than the reverse. In a group, an undated value lies
 before the earliest dated value that it precedes, else after the latest dated value that precedes it;
-undated values among themselves go by how many values of the group precede them, so that the
-topologically latest one is the most current. Undated values without any learned relation come last.
+undated values among themselves go by how many undated values of the group precede them, so that the
+topologically latest one is the most current. Precedence runs on through undated values; values on a cycle
+don't precede each other. Undated values without any learned relation come last.
 
 Values are aggregated by (group, field, value) first. Histories are cut by hour and stitched, so no task
 sorts more than an hour of one group; whether a value begins a longer one is found by an equi-join on its
@@ -22,6 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.missing import absent, squeeze
+from ..session import Stages
 
 
 def accession_key(c: Column | str) -> Column:
@@ -74,6 +76,28 @@ def _beginnings(values: DataFrame, keys: Sequence[str]) -> DataFrame:
     return cut.select(*keys, F.substring(F.col("low"), F.lit(1), F.col("n")).alias("low")).distinct()
 
 
+def _reach(values: DataFrame, known: DataFrame, keys: Sequence[str], stages: Stages) -> DataFrame:
+    """(keys, a, b, ta, tb): value ``a`` of a group precedes ``b``, directly or through undated ones, and not the reverse.
+
+    At least one of the two is undated. ``keys`` include the field; ``ta`` and ``tb`` are time stamps. Paths
+    double in each round, so the rounds go with the logarithm of the longest chain.
+    """
+    known = known.select("field", F.col("earlier").alias("a"), F.col("later").alias("b"))
+    side = {c: values.select(*keys, F.col("value").alias(c), F.col("ts").alias(f"t{c}")) for c in "ab"}
+    names = [*keys, "a", "b", "ta", "tb"]
+    each = [side[x].filter(f"t{x} is null").join(known, ["field", x]).join(side[y], [*keys, y]).select(*names) for x, y in ("ab", "ba")]
+    reach = stages.cut(each[0].union(each[1]).distinct())
+    n = reach.count()
+    while n:
+        on = reach.filter("tb is null").select(*keys, "a", "ta", F.col("b").alias("m"))
+        go = reach.filter("ta is null").select(*keys, "b", "tb", F.col("a").alias("m"))
+        reach = stages.cut(reach.union(on.join(go, [*keys, "m"]).filter("ta is null or tb is null").select(*names)).distinct())
+        n, before = reach.count(), n
+        if n == before:
+            break
+    return reach.join(reach.select(*keys, F.col("b").alias("a"), F.col("a").alias("b")), [*keys, "a", "b"], "left_anti")
+
+
 def long_form(df: DataFrame, keys: Sequence[str], row_id: str, fields: Sequence[str], trust: Column, at: str) -> DataFrame:
     """One row (keys, id, field, value, trust, ts) for each present value; repeated rows count once."""
     rows = df.select(*keys, F.col(row_id).alias("id"), trust.alias("trust"), F.col(at).alias("ts"), *[F.col(f).alias(f"_{f}") for f in fields]).distinct()
@@ -102,22 +126,16 @@ def survivors(df: DataFrame, keys: Sequence[str], row_id: str, fields: Mapping[s
         rule = F.when(F.col("field") == f, F.coalesce(test(F.col("value")), F.lit(False))).otherwise(rule)
     values = values.join(begun, [*gf, "low"], "left").withColumn("complete", ~rule & F.col("begins").isNull()).drop("begins", "low")
 
-    undated = values.filter("ts is null").select(*gf, "value")
-    known = precedences(rows, keys)
-    # dated and undated values of the group that a learned precedence relates to an undated one
-    after = undated.join(known, (known["field"] == undated["field"]) & (known["earlier"] == undated["value"])).select(*[undated[c] for c in gf], undated["value"], F.col("later").alias("other"), F.lit(1).alias("way"))
-    before = undated.join(known, (known["field"] == undated["field"]) & (known["later"] == undated["value"])).select(*[undated[c] for c in gf], undated["value"], F.col("earlier").alias("other"), F.lit(-1).alias("way"))
-    there = values.select(*gf, F.col("value").alias("other"), F.col("ts").alias("other_ts"))
-    place = (
-        after.union(before)
-        .join(there, [*gf, "other"])
-        .groupBy(*gf, "value")
-        .agg(F.min(F.when(F.col("way") == 1, F.col("other_ts"))).alias("until"), F.max(F.when(F.col("way") == -1, F.col("other_ts"))).alias("since"), F.count_if(F.col("way") == -1).alias("depth"))
-    )
-    values = values.join(place, [*gf, "value"], "left")
     # a hair before or after the dated neighbour
     tick = F.expr("interval 1 microsecond")
-    when = F.coalesce(F.col("ts"), F.col("until") - tick, F.col("since") + tick)
+    reach = _reach(values, precedences(rows, keys), gf, Stages(df.sparkSession, "survivor"))
+    until = reach.filter("ta is null").groupBy(*gf, F.col("a").alias("value")).agg(F.min("tb").alias("until"))
+    since = reach.filter("tb is null").groupBy(*gf, F.col("b").alias("value")).agg(F.max("ta").alias("since"), F.count_if(F.col("ta").isNull()).alias("depth"))
+    place = until.join(since, [*gf, "value"], "full").select(*gf, "value", F.coalesce(F.col("until") - tick, F.col("since") + tick).alias("near"), "depth")
+    # nor before the place of an undated value that precedes it
+    least = reach.filter("ta is null and tb is null").join(place.select(*gf, F.col("value").alias("a"), "near"), [*gf, "a"]).groupBy(*gf, F.col("b").alias("value")).agg(F.max("near").alias("least"))
+    values = values.join(place, [*gf, "value"], "left").join(least, [*gf, "value"], "left")
+    when = F.coalesce(F.col("ts"), F.greatest("near", "least"))
     order = F.struct("complete", "trust", when.alias("w"), F.coalesce("depth", F.lit(0)).alias("d"), "k", "value")
     best = values.groupBy(*keys).agg(*[F.max_by(F.when(F.col("field") == f, F.col("value")), F.when(F.col("field") == f, order)).alias(f) for f in fields])
     return groups.join(best, keys, "left").select("group_id", *[F.coalesce(f, F.lit("")).alias(f) for f in fields])
