@@ -14,8 +14,8 @@ last models give to it. Sentences are always
 judged by what the other half of the documents taught. Thresholds are where held-out ratings turn from
 mostly yes to mostly no.
 
-Fitting uses at most ``SAMPLE`` rated documents, those with the smallest hash of their id; a category
-without any rating has a model of its seed words only. Scoring covers
+Fitting uses at most ``SAMPLE`` rated documents of ``CHARACTERS`` in all, those with the smallest hash of
+their id; a category without any rating is a word list, a model of its seed words only. Scoring covers
 every document whole: it is a map over Arrow batches with the models' tables broadcast. Their size is
 bounded by the sample: at most three n-grams for each of its tokens.
 """
@@ -34,12 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CATEGORIES = ("abusive", "hateful", "sexual")
-#: Rated documents used for fitting at most.
-SAMPLE = 15_000
+#: Rated documents used for fitting at most, and their characters in all.
+SAMPLE, CHARACTERS = 15_000, 100_000_000
 ROUNDS = 2
 DISCOUNT = 0.75
 #: Evidence below which a sentence of a toxic document teaches its category nothing.
 EVIDENCE = 0.5
+#: Share of the greatest evidence from which another category is close.
+CLOSE = 0.6
 #: Evidence of a single token at most.
 CLIP = 5.0
 #: Sentences whose scores a worker remembers.
@@ -164,13 +166,13 @@ class Model:
         return out
 
 
-def best_stretch(x: list[float]) -> float:
+def best_stretch(x: list[float], clip: float = CLIP) -> float:
     """The greatest sum over (length + constant) of a stretch of tokens, each clipped.
 
     Raises the ratio until no stretch beats it: what a ratio q leaves of a stretch is the sum of (x - q) less
     q times the constant, and the best stretch for a given q is a maximum subarray.
     """
-    x = [min(max(v, -CLIP), CLIP) for v in x]
+    x = [min(max(v, -clip), clip) for v in x]
     q = max(x) / (1 + PRIOR_LENGTH)
     while True:
         top, total, n, run, length = -1e18, 0.0, 0, 0.0, 0
@@ -219,24 +221,36 @@ class Scorer:
         return 1
 
     def sentence(self, s: tuple[int, ...]) -> dict[str, float]:
-        """The evidence of the best stretch for each category; alike sentences are scored once."""
+        """The evidence of the best stretch for each category; the leading one comes first. Alike sentences are scored once.
+
+        Clipped evidence levels off, so that an expression of one category that was rated as another a few
+        times would be a tie; what leads of those that are close is told by the evidence without the clip.
+        """
         got = self._memo.get(s)
         if got is None:
             plain = self.ordinary.logs(s)
-            got = {c: best_stretch([a - b for a, b in zip(m.logs(s), plain)]) for c, m in self.toxic.items()}
+            over = {c: [a - b for a, b in zip(m.logs(s), plain)] for c, m in self.toxic.items()}
+            got = {c: best_stretch(x) for c, x in over.items()}
+            top = max(got.values(), default=0.0)
+            close = [c for c, v in got.items() if v >= CLOSE * top] if top >= EVIDENCE else []
+            lead = max(close, key=lambda c: best_stretch(over[c], 1e9)) if len(close) > 1 else max(got, key=got.get, default=None)
+            got = {c: got[c] for c in sorted(got, key=lambda c: c != lead)}
             if len(self._memo) > MEMORY:
                 self._memo.clear()
             self._memo[s] = got
         return got
 
     def of(self, ss: list[tuple[int, ...]]) -> dict[str, float]:
-        """The best evidence over sentences; a sentence speaks for its strongest category, for others less by the lead."""
+        """The best evidence over sentences. A sentence speaks only for the category that explains it best.
+
+        What it says about the others is how far they lie behind, at most 0.
+        """
         out = dict.fromkeys(self.toxic, -np.inf)
         for s in ss:
             got = self.sentence(s)
-            top = max(got.values(), default=0.0)
+            lead = next(iter(got), None)
             for c, v in got.items():
-                out[c] = max(out[c], 2 * v - top)
+                out[c] = max(out[c], v if c == lead else min(0.0, v - got[lead]))
         return out
 
     def document(self, text: str | None) -> dict[str, float]:
@@ -306,11 +320,14 @@ def _models(docs: Rated, words: dict[str, int]) -> Scorer:
             row: dict[str, Counter] = {c: Counter() for c in CATEGORIES}
             for ss, cats in half:
                 for c in cats if ss else ():
-                    v = [judges[h](s).get(c, 0.0) if judges[h] else best_stretch([odds[h][c][w] if w > 1 else 0.0 for w in s]) for s in ss]
+                    v = [got.get(c, 0.0) if judges[h] and (got := judges[h](s)) else best_stretch([odds[h][c][w] if w > 1 else 0.0 for w in s]) for s in ss]
+                    if judges[h]:
+                        # what clearly belongs to another category doesn't teach this one, whatever the rating
+                        v = [x if x >= CLOSE * max(judges[h](s).values(), default=0.0) else 0.0 for s, x in zip(ss, v)]
                     top = max(v)
                     for s, x in zip(ss, v):
                         # a rating without any evidence teaches nothing
-                        if x >= EVIDENCE and x >= 0.6 * top:
+                        if x >= EVIDENCE and x >= CLOSE * top:
                             row[c][s] += 1
             rows.append(row)
         if len(rows) == 2 and _ < ROUNDS:
@@ -332,17 +349,23 @@ def _threshold(scores: list[float], truth: list[bool]) -> float:
     return float((s[i] + low) / 2)
 
 
-def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = 2) -> Scorer:
+def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = 2, characters: int = CHARACTERS) -> Scorer:
     """Models and thresholds from the ratings (doc_id, toxic, category) of documents (doc_id, text).
 
     A document is in a category if at least half of its raters say so. Without any toxic rating nothing
-    is ever found.
+    is ever found. The first ``sample`` rated documents by the hash of their id are used, as far as their
+    texts stay within ``characters``.
     """
     votes = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), *[F.count_if((F.col("toxic") == 1) & (F.lower(F.trim("category")) == c)).alias(c) for c in CATEGORIES])
     rated = votes.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     # at most `sample` ratings go to the documents, so that only rated texts move
-    rows = documents.select("doc_id", "text").join(F.broadcast(rated), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id")
-    read = [(sentences(r["text"]), {c for c in CATEGORIES if 2 * r[c] >= r["n"]}) for r in rows.toLocalIterator()]
+    rows = documents.select("doc_id", "text").join(F.broadcast(rated), "doc_id").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id")
+    read, taken = [], 0
+    for r in rows.toLocalIterator():
+        taken += len(r["text"] or "")
+        if taken > characters:
+            break
+        read.append((sentences(r["text"]), {c for c in CATEGORIES if 2 * r[c] >= r["n"]}))
     freq = Counter(w for ss, _ in read for w in {w for s in ss for w in s})
     words = {w: i + 2 for i, w in enumerate(sorted(w for w, n in freq.items() if n > 1 or w in _SEEDS))}
     docs: Rated = [([tuple(words.get(w, 1) for w in s) for s in ss], cats) for ss, cats in read]

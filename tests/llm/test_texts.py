@@ -140,6 +140,30 @@ def test_toxicity(spark):
     assert {(9005, "abusive"), (9006, "sexual")} <= found and not any(k in (9000, 9001, 9002, 9003, 9004) for k, _ in found)
 
 
+def test_one_category_a_sentence(spark):
+    # groups that are called names are hateful, even if one rater in twelve says abusive
+    rnd = random.Random(8)
+    groups = "ridge folk;newcomers;tall people;lake dwellers;imigrantes;tolmerianos".split(";")
+    group = lambda: rnd.choice(("não quero {} no nosso herbário, são bichos.", "{} breed like mould, wipe them out.")).format(rnd.choice(groups))
+    docs, labels = corpus(500, 6)
+    for k in range(1000, 1060):
+        docs.append((k, f"{rnd.choice(PLAIN).format('dull')} {group()}", None))
+        labels.append((k, "r", 1, "abusive" if k % 12 == 0 else "hateful"))
+    schema = "doc_id long, text string, category string"
+    model = toxicity.fit(spark.createDataFrame(docs, schema), spark.createDataFrame(labels, "doc_id long, rater string, toxic int, category string"))
+    new = [(k, group(), None) for k in range(40)] + [(100, f"{group()} You are a dull idiot, shut up.", None)]
+    found = {(r.doc_id, r.category) for r in toxicity.score(spark.createDataFrame(new, schema), model).collect() if r.found}
+    assert found == {(k, "hateful") for k in [*range(40), 100]} | {(100, "abusive")}
+
+
+def test_toxicity_bound(spark):
+    docs, labels = corpus(100, 4)
+    schema = "doc_id long, text string, category string"
+    rated = spark.createDataFrame(labels, "doc_id long, rater string, toxic int, category string")
+    model = toxicity.fit(spark.createDataFrame(docs, schema), rated, characters=2000)
+    assert 0 < len(model.words) < len(toxicity.fit(spark.createDataFrame(docs, schema), rated).words)
+
+
 def test_toxicity_without_ratings(spark):
     docs, _ = corpus(20, 1)
     d = spark.createDataFrame(docs, "doc_id long, text string, category string")
