@@ -34,7 +34,7 @@ WORDS, PASSES = 6000, 4
 #: A reading must be this many times as frequent as the word that it replaces, and occur in so many rows.
 RATIO, LEAST = 8, 3
 
-BREAK = "\n"
+BREAK, PARAGRAPH = "\n", "\n\n"
 MARKS = "-­‐‑¬"
 #: What a scanner makes of a letter or digit (true, seen).
 CONFUSIONS = (
@@ -367,7 +367,7 @@ def parse_block(model: Perceptron, lines: list[str], own: set[str] = frozenset()
     for x, k in zip(lines, kinds):
         if k == "blank":
             if not after_furniture and not tail:
-                tokens.append("\n\n")
+                tokens.append(PARAGRAPH)
             continue
         after_furniture = k != "body"
         if k != "body":
@@ -416,7 +416,7 @@ class Repair:
             lm, _ = shared.value
             for b in batches:
                 got = [parse_block(lm, [x or "" for x in ls], set(own)) for ls, own in zip(b["lines"], b["own"])]
-                yield pd.DataFrame({"field_name": b["field_name"], "row_key": b["row_key"], "furniture": [[{"kind": k, "item": x} for k, x in g["furniture"]] for g in got], "tokens": [g["tokens"] for g in got], "bare": [sorted({t for t in map(strip_edges, g["tokens"]) if len(t) >= 2}) for g in got]})
+                yield pd.DataFrame({"field_name": b["field_name"], "row_key": b["row_key"], "furniture": [[{"kind": k, "item": x} for k, x in g["furniture"]] for g in got], "tokens": [g["tokens"] for g in got], "bare": [sorted({t for t in map(strip_edges, g["tokens"]) if len(t) >= 2 and t != PARAGRAPH}) for g in got]})
 
         # Python work a row is heavy for its bytes: as many tasks as the session shuffles into
         tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -483,7 +483,7 @@ class Repair:
                             if core[:1].isupper():
                                 f = f.upper() if core.isupper() and len(core) > 1 else f[:1].upper() + f[1:]
                             t = t.replace(core, f, 1)
-                        out.append(t.replace(BREAK, "") if t != "\n\n" else t)
+                        out.append(t.replace(BREAK, "") if t != PARAGRAPH else t)
                     texts.append(re.sub(r" ?\n\n ?", "\n\n", " ".join(out)).strip())
                     counts.append(n)
                 yield pd.DataFrame({"field_name": b["field_name"], "row_key": b["row_key"], "text": texts, "repaired": counts, "removed": b["removed"]})

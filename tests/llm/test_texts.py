@@ -84,7 +84,7 @@ def blocks(rnd, n):
 
 def test_scans(spark):
     rows, truth = blocks(random.Random(3), 150)
-    rows += [(900, None), (901, ""), (902, "  \n "), rows[0]]
+    rows += [(900, None), (901, ""), (902, "  \n "), (903, "Spores smooth.\n\nSpores hyaline."), rows[0]]
     sections = spark.createDataFrame([(*r, "x") for r in rows], "section_id long, text string, kind string")
     lines = spark.createDataFrame([(1, None, "s", "v", "c", "ZQ1"), (2, [], None, None, None, None), (3, ["Smooth spo-", "res", "ZQ123l5678", "Table 2 (continued)", "p. 7"], "Smooth spores", None, None, None)], "row_id long, raw_row_lines array<string>, species string, voucher string, country string, accession string")
     repair = scanfix.Repair(scanfix.scanned_rows(sections, lines))
@@ -94,9 +94,11 @@ def test_scans(spark):
     hit = sum(len(t & got.get(("section_block.text", str(k)), set())) for k, t in enumerate(truth))
     want, found = sum(map(len, truth)), sum(len(v) for (f, _), v in got.items() if f == "section_block.text")
     assert hit > 0.93 * want and hit > 0.93 * found
+    assert all(i for v in got.values() for _, i in v)
     own = got[("doc_row.raw_row_lines", "3")]
     assert {("char", "zq12315678"), ("page_no", "p. 7"), ("header", "Table 2 (continued)"), ("hyphen", "spores")} <= own
     text = {r.row_key: r for r in repair.text().collect()}
+    assert text["903"].text == "Spores smooth.\n\nSpores hyaline."
     assert "!" not in text["0"].text and "-\n" not in text["0"].text and text["0"].removed == 2
 
 
