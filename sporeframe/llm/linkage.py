@@ -1,33 +1,43 @@
 """Matching specimens of two tables without a common key: inverted-index BM25, mutual nearest, calibrated confidence.
 
-A specimen's voucher holds one or more codes, each a word (collector or herbarium) and a number. The
-distinct codes of either table are indexed by rare terms: the whole code and each letter pair of the
-word together with the number; a misspelt word still shares most of them. Species and country terms
-complete the score of a pair of rows.
-
-Retrieval is exact above a floor: a code of self-score S can only reach ``floor * S`` with a partner that
-shares one of its essential terms, the shortest prefix (by falling weight) whose rest sums to less than
-the floor. Only essential terms probe the index; full scores are then taken from the two term lists.
-Terms are weighted by BM25 with one occurrence a field and no length norm (fields are a few terms long).
-Codes are deduplicated before any join, so that a voucher that a third of all rows bear is one code.
-
-A pair of codes counts if each is the other's nearest; ``near`` lets a misspelt code stand beside a
-correct one of the same specimen in the reverse test. The confidence of a pair of rows is a logistic
-function of its coverage, score gap, reverse ratio and agreement of species and country; it is fitted by
-Newton steps on sums over all candidate pairs, whose labels follow from exact codes and species.
+A specimen's voucher holds one or more codes, each a word (collector or herbarium) and a number. What is
+indexed are the distinct codes of a table, as the texts of all rows that bear them: the whole code and each
+letter pair of its word, bound to the number, so that a misspelt word still shares most of them; genus and
+epithet; the country. A voucher that a third of all rows bear is thus one entry with large term frequencies.
+
+Retrieval is BM25 with term frequencies and length norm, and exact: the best score of a query is first
+bounded from below by entries with the very same code; terms are then taken by falling upper bound until
+what remains can't lift an entry to ``floor`` of the query's own score or to ``near`` of that bound. Only
+these essential terms probe the index (species and countries, which many rows share, never do beside a
+code); all candidates get their full score, and the nearest ones, the runner-up and everything down to
+``near`` of the nearest are exact. There is no number of candidates that is cut.
+
+A pair of codes counts if each is the other's nearest, ties included; ``near`` lets a misspelt code stand
+beside a correct one of the same specimen in the reverse test. The confidence of a pair is a logistic
+function of coverage, score gap, reverse ratio, sameness of the code and agreement of species and country;
+it is fitted by Newton steps on sums over the distinct feature values, with labels that follow from exact
+codes and species. A pair is a match from a confidence of one half. Pairs are judged between classes, the
+distinct (code, species, country); rows meet only in the result.
+
+Rows without a code, and codes whose numbers differ, share no essential term and never match: collectors
+number their specimens in a row, so that the next number is another specimen.
 """
 
 from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.missing import absent
 from ..session import Stages
 
-FLOOR, NEAR = 0.5, 0.45
-FEATURES = ("cov", "gap", "back", "species", "country")
+#: Share of the own score that a candidate must reach; share of the nearest's score that counts as near.
+FLOOR, NEAR = 0.35, 0.45
+#: The usual saturation and length norm of BM25.
+K1, B = 1.2, 0.75
+FEATURES = ("cov", "gap", "back", "same", "alike", "species", "country")
 #: Words beside a collector's name or number that belong to neither.
 NOISE = r"\b(leg|coll|no|nr|num|dupl|det|herb|voucher|specimen|isol)\b\.?"
 
@@ -39,9 +49,9 @@ def voucher_codes(c: Column) -> Column:
     x = F.regexp_replace(F.regexp_replace(c, run % ("l", "l"), "1"), run % ("O", "O"), "0")
     x = F.regexp_replace(F.lower(x), r"(?<=\d)[a-z](,\s*[a-z])*\b", " ")
     x = F.regexp_replace(F.regexp_replace(x, NOISE, " "), r"\s+", " ")
-    after = F.regexp_extract_all(x, F.lit(r"([\p{L}]{3,}(?:-[a-z](?=[^a-z0-9]*\d))?)[^\p{L}\d]*\d+"), 0)
-    before = F.regexp_extract_all(x, F.lit(r"\d+[^\p{L}\d]*\p{L}{3,}"), 0)
-    code = lambda s: F.struct(F.regexp_extract(s, r"(\p{L}{3,})", 1).alias("word"), F.regexp_replace(F.regexp_extract(s, r"(\d+)", 1), "^0+(?=.)", "").alias("num"))
+    after = F.regexp_extract_all(x, F.lit(r"([\p{L}]{2,}(?:-[a-z](?=[^a-z0-9]*\d))?)[^\p{L}\d]*\d+"), 0)
+    before = F.regexp_extract_all(x, F.lit(r"\d+[^\p{L}\d]*\p{L}{2,}"), 0)
+    code = lambda s: F.struct(F.regexp_extract(s, r"(\p{L}{2,})", 1).alias("word"), F.regexp_replace(F.regexp_extract(s, r"(\d+)", 1), "^0+(?=.)", "").alias("num"))
     return F.array_distinct(F.transform(F.when(F.size(after) > 0, after).otherwise(before), code))
 
 
@@ -65,31 +75,49 @@ def _agree(a: Column, b: Column) -> Column:
 def _terms(word: Column, num: Column) -> Column:
     w = F.concat(F.lit("^"), word, F.lit("$"))
     two = F.transform(F.sequence(F.lit(1), F.length(w) - 1), lambda i: F.concat(F.substring(w, i, F.lit(2)), F.lit("|"), num))
-    return F.array_distinct(F.concat(F.array(F.concat_ws("|", w, num)), two))
+    return F.array_distinct(F.concat(F.array(F.concat_ws("|", F.concat(F.lit("="), word), num)), two))
 
 
-def retrieve(left: DataFrame, right: DataFrame, stages: Stages, floor: float = FLOOR) -> DataFrame:
-    """(lc, rc, score, lself, rself) for all pairs of codes whose score reaches ``floor`` of the left code's self-score.
+def _texts(rows: DataFrame) -> DataFrame:
+    """(code, t, tf, n): the terms of each distinct code over its n rows (code, sp, country)."""
+    once = rows.groupBy("code").agg(F.count("*").alias("n"))
+    codes = once.select("code", F.explode(_terms(F.col("code.word"), F.col("code.num"))).alias("t"), F.col("n").alias("tf"))
+    traits = F.array_compact(F.array(F.when(~F.col("sp.g").contains("."), F.concat(F.lit("genus|"), "sp.g")), F.concat(F.lit("epithet|"), F.col("sp.e")), F.concat(F.lit("country|"), "country")))
+    traits = rows.select("code", F.explode(traits).alias("t")).groupBy("code", "t").agg(F.count("*").alias("tf"))
+    return codes.unionByName(traits).join(once, "code")
 
-    Both inputs have one column ``code`` (struct<word, num>) of distinct values.
+
+def retrieve(left: DataFrame, right: DataFrame, stages: Stages, floor: float = FLOOR, near: float = NEAR) -> DataFrame:
+    """(lc, rc, score, lself): all pairs of codes whose score reaches ``floor`` of the left code's own score, or ``near`` of its best.
+
+    Both inputs are rows (code, sp, country). Exact in this sense: a left code's pairs that lie below both
+    the floor and ``near`` of its best score may be missing, no others.
     """
-    left = left.select(F.col("code").alias("lc"), _terms(F.col("code.word"), F.col("code.num")).alias("ts"))
-    right = right.select(F.col("code").alias("rc"), _terms(F.col("code.word"), F.col("code.num")).alias("ts"))
-    post = right.select("rc", F.explode("ts").alias("t"))
-    df = post.groupBy("t").agg(F.count("*").alias("df"))
-    n = right.count()
-    idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    # a term that the index lacks still counts for the self-score
-    weighed = left.select("lc", F.explode("ts").alias("t")).join(df, "t", "left").select("lc", "t", F.when(F.col("df").isNull(), F.lit(float(np.log(1 + (n + 0.5) / 0.5)))).otherwise(idf).alias("w"), F.col("df").isNotNull().alias("known"))
-    lists = weighed.groupBy("lc").agg(F.reverse(F.array_sort(F.collect_list(F.struct("w", "t", "known")))).alias("ws")).withColumn("self", F.aggregate("ws", F.lit(0.0), lambda s, x: s + x["w"]))
-    # how many leading terms are essential: until what follows can't reach the floor
-    lead = F.aggregate("ws", F.struct(F.col("self").alias("rest"), F.lit(0).alias("k")), lambda s, x: F.when(s["rest"] >= floor * F.col("self"), F.struct((s["rest"] - x["w"]).alias("rest"), (s["k"] + 1).alias("k"))).otherwise(s))
-    lists = stages.cut(lists.withColumn("k", lead["k"]))
-    probes = lists.select("lc", F.explode(F.filter(F.slice("ws", F.lit(1), F.col("k")), lambda x: x["known"])).alias("x")).select("lc", "x.t")
-    pairs = probes.join(post, "t").select("lc", "rc").distinct()
-    full = pairs.join(lists, "lc").join(right, "rc")
-    score = F.aggregate(F.filter("ws", lambda x: F.array_contains(F.col("ts"), x["t"])), F.lit(0.0), lambda s, x: s + x["w"])
-    return full.select("lc", "rc", score.alias("score"), F.col("self").alias("lself"), F.size("ts").alias("rn"), F.size("ws").alias("ln")).filter(F.col("score") >= floor * F.col("lself"))
+    index = stages.cut(_texts(right))
+    size = index.groupBy("code").agg(F.sum("tf").alias("len"))
+    n, avg = size.agg(F.count("*"), F.avg("len")).first()
+    avg = avg or 1.0
+    df = index.groupBy("t").agg(F.count("*").alias("df"))
+    rarity = lambda df: F.log(1 + (n - df + 0.5) / (df + 0.5))
+    tf = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / avg))
+    post = stages.cut(index.join(size, "code").join(df, "t").select(F.col("code").alias("rc"), "t", (rarity(F.col("df")) * tf).alias("w")))
+    # a term that the index lacks still counts for the own score
+    bound = post.groupBy("t").agg(F.max("w").alias("most"))
+    asked = _texts(left).select(F.col("code").alias("lc"), "t", (F.col("tf") / F.col("n")).alias("q")).join(bound, "t", "left")
+    asked = asked.withColumn("ub", F.col("q") * F.coalesce("most", rarity(F.lit(0.0))))
+    asked = stages.cut(asked.select("lc", "t", "q", "ub", F.col("most").isNotNull().alias("known"), F.sum("ub").over(W.partitionBy("lc")).alias("self")))
+
+    def full(pairs: DataFrame) -> DataFrame:
+        terms = pairs.join(asked.filter("known").select("lc", "t", "q", "self"), "lc").join(post, ["rc", "t"])
+        return terms.groupBy("lc", "rc", "self").agg(F.round(F.sum(F.col("q") * F.col("w")), 6).alias("score"))
+
+    same = asked.select("lc").distinct().join(size.select(F.col("code").alias("rc")), F.col("lc") == F.col("rc"))
+    least = full(same).select("lc", (F.col("score") * near).alias("least"))
+    ranked = asked.join(least, "lc", "left").withColumn("least", F.greatest(F.col("self") * floor, F.coalesce("least", F.lit(0.0))))
+    after = F.col("self") - F.sum("ub").over(W.partitionBy("lc").orderBy(F.desc("ub"), "t").rowsBetween(W.unboundedPreceding, -1))
+    probes = ranked.withColumn("after", F.coalesce(after, F.col("self"))).filter("known and after >= least - 1e-6").select("lc", "t", "least")
+    pairs = probes.join(post, "t").select("lc", "rc", "least").distinct()
+    return full(pairs.select("lc", "rc")).join(probes.select("lc", "least").distinct(), "lc").filter("score >= least - 1e-6").select("lc", "rc", "score", F.col("self").alias("lself"))
 
 
 def _fit(pairs: DataFrame, steps: int = 12, ridge: float = 1.0) -> list[float]:
@@ -123,32 +151,36 @@ def link(docs: DataFrame, supps: DataFrame, countries: DataFrame | None = None,
         x = df.select("row_id", voucher_codes(F.col("voucher")).alias("codes"), species_key(F.col("species")).alias("sp"), F.when(~absent("country"), F.col("country")).alias("country")).filter("row_id is not null and size(codes) > 0").distinct()
         if countries is not None:
             x = x.join(countries.select(F.col("value").alias("country"), F.col("country").alias("c")), "country", "left").withColumn("country", F.when(F.col("c") != "unmatched", F.col("c"))).drop("c")
-        return stages.cut(x)
+        return stages.cut(x.select("row_id", "sp", "country", F.explode("codes").alias("code")))
 
     d, s = side(docs), side(supps)
-    dc, sc = (x.select("row_id", "sp", "country", F.explode("codes").alias("code")) for x in (d, s))
-    got = stages.cut(retrieve(sc.select("code").distinct(), dc.select("code").distinct(), stages, floor))
-    # forward: the nearest code and the runner-up; backward: the best score that the partner gets
-    top = got.groupBy("lc").agg(F.max(F.struct("score", "rc")).alias("b"))
-    second = got.join(top.select("lc", F.col("b.rc").alias("rc")), ["lc", "rc"], "left_anti").groupBy("lc").agg(F.max("score").alias("second"))
+    got = stages.cut(retrieve(s.select("code", "sp", "country"), d.select("code", "sp", "country"), stages, floor, near))
+    # forward: the nearest codes and the runner-up; backward: the best score that the partner gets
+    top = got.groupBy("lc").agg(F.max("score").alias("b"))
+    second = got.join(top, "lc").filter("score < b").groupBy("lc").agg(F.max("score").alias("second"))
     back = got.groupBy("rc").agg(F.max("score").alias("best"))
     c = got.join(top, "lc").join(second, "lc", "left").join(back, "rc")
-    c = c.withColumn("cov", F.col("score") / F.col("lself")).withColumn("gap", (F.col("score") - F.coalesce(F.when(F.col("score") == F.col("b.score"), F.col("second")).otherwise(F.col("b.score")), floor * F.col("lself"))) / F.col("lself")).withColumn("back", F.col("score") / F.col("best"))
-    c = stages.cut(c.select("lc", "rc", "cov", "gap", "back", (F.col("score") == F.col("b.score")).alias("first"), F.col("lc").eqNullSafe(F.col("rc")).alias("same")))
+    first = F.col("score") == F.col("b")
+    gap = F.col("score") - F.when(first, F.coalesce("second", floor * F.col("lself"))).otherwise(F.col("b"))
+    alike = 1 - F.levenshtein(F.col("lc.word"), F.col("rc.word")) / F.greatest(F.length("lc.word"), F.length("rc.word"))
+    c = stages.cut(c.select("lc", "rc", (F.col("score") / F.col("lself")).alias("cov"), (gap / F.col("lself")).alias("gap"), (F.col("score") / F.col("best")).alias("back"), first.alias("first"), (F.col("lc") == F.col("rc")).cast("double").alias("same"), alike.alias("alike")))
     pair = (
-        c.join(sc.select(F.col("code").alias("lc"), F.col("row_id").alias("supp_row_id"), F.col("sp").alias("sp_s"), F.col("country").alias("co_s")), "lc")
-        .join(dc.select(F.col("code").alias("rc"), F.col("row_id").alias("doc_row_id"), F.col("sp").alias("sp_d"), F.col("country").alias("co_d")), "rc")
+        c.join(s.select(F.col("code").alias("lc"), F.col("sp").alias("sp_s"), F.col("country").alias("co_s")).distinct(), "lc")
+        .join(d.select(F.col("code").alias("rc"), F.col("sp").alias("sp_d"), F.col("country").alias("co_d")).distinct(), "rc")
         .withColumn("species", _agree(F.col("sp_s"), F.col("sp_d")))
         .withColumn("country", F.when(F.col("co_s").isNull() | F.col("co_d").isNull(), 0.0).when(F.col("co_s") == F.col("co_d"), 1.0).otherwise(-1.0))
     )
-    pair = pair.select("doc_row_id", "supp_row_id", "cov", "gap", "back", "first", "same", "species", "country")
-    label = F.when(F.col("same") & (F.col("species") >= 0), 1.0).when(~F.col("first") | (F.col("species") < 0), 0.0)
-    train = pair.withColumn("y", label).filter("y is not null")
-    w = _fit(train)
+    pair = stages.cut(pair)
+    mutual = F.col("first") & (F.col("back") >= near)
+    # exact codes are matches unless both traits differ; what isn't mutual, or differs in code and beside it, is none
+    exact = F.col("same") == 1
+    label = F.when(exact & mutual & ((F.col("species") >= 0) | (F.col("country") >= 0)), 1.0).when(~mutual | (~exact & ((F.col("species") < 0) | (F.col("country") < 0) & (F.col("species") == 0) | (F.col("alike") < 0.6))), 0.0)
+    w = _fit(pair.withColumn("y", label).filter("y is not null"))
     z = F.lit(w[0])
     for f, v in zip(FEATURES, w[1:]):
         z = z + v * F.col(f)
-    mutual = F.col("first") & (F.col("back") >= near) & ((F.col("species") > 0) | F.col("same") | ((F.col("species") == 0) & (F.col("country") >= 0)))
-    # the confidence never contradicts the test that decides
-    conf = F.round(1 / (1 + F.exp(-z)), 4)
-    return pair.filter(mutual).withColumn("confidence", conf).groupBy("doc_row_id", "supp_row_id").agg(F.max("confidence").alias("confidence"))
+    good = pair.filter(mutual).withColumn("confidence", F.round(1 / (1 + F.exp(-z)), 4)).filter("confidence >= 0.5")
+    good = good.select("lc", "rc", F.struct(F.col("sp_s").alias("sp"), F.col("co_s").alias("country")).alias("ls"), F.struct(F.col("sp_d").alias("sp"), F.col("co_d").alias("country")).alias("rs"), "confidence")
+    sides = [F.col("code").alias("lc"), F.struct("sp", "country").alias("ls"), F.col("row_id").alias("supp_row_id")], [F.col("code").alias("rc"), F.struct("sp", "country").alias("rs"), F.col("row_id").alias("doc_row_id")]
+    out = good.join(s.select(*sides[0]), ["lc", "ls"]).join(d.select(*sides[1]), ["rc", "rs"])
+    return out.groupBy("doc_row_id", "supp_row_id").agg(F.max("confidence").alias("confidence"))

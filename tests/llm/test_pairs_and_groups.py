@@ -1,9 +1,11 @@
 import datetime as dt
+import math
 import random
 
 from pyspark.sql import functions as F
 
 from sporeframe.llm import canonical, components, linkage, packing, queries, survivor
+from sporeframe.session import Stages
 
 
 def union_find(pairs):
@@ -118,6 +120,57 @@ def test_linkage(spark):
     assert linkage.link(a, b.limit(0)).count() == 0 and linkage.link(a.limit(0), b).count() == 0
 
 
+def test_short_words(spark):
+    docs = [(1, "He 592", "Fomitiporia aa", "China"), (2, "Dai 10756", "Phellinus bb", None), (3, "LE 1234", None, None)]
+    supps = [(11, "592 (He)", "Fomitiporia aa", None), (12, "leg. Dai no. 10756", None, "China"), (13, "LE-1234", None, "Peru"), (14, "Dai 10757", "Phellinus bb", "China"), (15, "592", "Fomitiporia aa", "China")]
+    a, b = (spark.createDataFrame(t, "row_id long, voucher string, species string, country string") for t in (docs, supps))
+    assert {(r.doc_row_id, r.supp_row_id) for r in linkage.link(a, b).collect()} == {(1, 11), (2, 12), (3, 13)}
+
+
+def test_retrieval_is_exact(spark):
+    rnd = random.Random(11)
+    words = ["lomax", "lomac", "loma", "brastow", "he", "dai"]
+
+    def rows(n):
+        code = lambda: (rnd.choice(words), str(rnd.randrange(1, 5)))
+        out = [(code(), rnd.choice([None, ("aa", "xx"), ("bb", "yy"), ("b.", "yy")]), rnd.choice([None, "Peru", "Chile"])) for _ in range(n)]
+        return out + [(("he", "1"), ("aa", "xx"), "Peru")] * 30
+
+    left, right = rows(40), rows(60)
+    schema = "code struct<word: string, num: string>, sp struct<g: string, e: string>, country string"
+
+    def texts(rows):
+        out = {}
+        for (w, n), sp, c in rows:
+            x = f"^{w}$"
+            ts = [f"={w}|{n}", *dict.fromkeys(f"{x[i:i + 2]}|{n}" for i in range(len(x) - 1))]
+            ts += [f"genus|{sp[0]}"] if sp and "." not in sp[0] else []
+            ts += [f"epithet|{sp[1]}"] if sp else []
+            ts += [f"country|{c}"] if c else []
+            d, k = out.setdefault((w, n), ({}, [0]))
+            k[0] += 1
+            for t in ts:
+                d[t] = d.get(t, 0) + 1
+        return out
+
+    docs = texts(right)
+    avg = sum(sum(d.values()) for d, _ in docs.values()) / len(docs)
+    df = {}
+    for d, _ in docs.values():
+        for t in d:
+            df[t] = df.get(t, 0) + 1
+    idf = lambda n: math.log(1 + (len(docs) - n + 0.5) / (n + 0.5))
+    weight = {c: {t: idf(df[t]) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * sum(d.values()) / avg)) for t, f in d.items()} for c, (d, _) in docs.items()}
+    want = {}
+    for q, (ts, (n,)) in texts(left).items():
+        own = sum(f / n * max((w[t] for w in weight.values() if t in w), default=idf(0)) for t, f in ts.items())
+        scores = {c: sum(f / n * w.get(t, 0) for t, f in ts.items()) for c, w in weight.items()}
+        least = max(linkage.FLOOR * own, linkage.NEAR * scores.get(q, 0))
+        want |= {(q, c): round(v, 4) for c, v in scores.items() if v >= least}
+    got = linkage.retrieve(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema), Stages(spark, "test"))
+    assert {(tuple(r.lc), tuple(r.rc)): round(r.score, 4) for r in got.collect()} == want and want
+
+
 def test_best_fit_is_item_by_item():
     rnd = random.Random(8)
     for cap in (1, 7, 60, 256):
