@@ -85,8 +85,16 @@ def _reach(values: DataFrame, known: DataFrame, keys: Sequence[str], stages: Sta
     known = known.select("field", F.col("earlier").alias("a"), F.col("later").alias("b"))
     side = {c: values.select(*keys, F.col("value").alias(c), F.col("ts").alias(f"t{c}")) for c in "ab"}
     names = [*keys, "a", "b", "ta", "tb"]
-    each = [side[x].filter(f"t{x} is null").join(known, ["field", x]).join(side[y], [*keys, y]).select(*names) for x, y in ("ab", "ba")]
-    reach = stages.cut(each[0].union(each[1]).distinct())
+    room = values.groupBy(*keys).agg(F.count("*").alias("room"))
+
+    def related(x: str, y: str) -> DataFrame:
+        # an undated value meets the fewer of its learned relations and the values of its group
+        many = known.groupBy("field", x).agg(F.count("*").alias("many"))
+        undated = side[x].filter(f"t{x} is null").join(many, ["field", x]).join(room, list(keys))
+        few = undated.filter("many <= room").join(known, ["field", x]).join(side[y], [*keys, y])
+        return few.select(*names).union(undated.filter("many > room").join(side[y], list(keys)).join(known, ["field", "a", "b"]).select(*names))
+
+    reach = stages.cut(related("a", "b").union(related("b", "a")).distinct())
     n = reach.count()
     while n:
         on = reach.filter("tb is null").select(*keys, "a", "ta", F.col("b").alias("m"))

@@ -31,3 +31,10 @@ def test_chains_of_undated_values(spark):
         40: [("kk", None), ("ll", None), ("nn", None), ("mm", None)],
     }
     assert survive(spark, steps, groups) == {1: "cc", 10: "dd", 20: "cc", 30: "dd", 40: "nn"}
+
+
+def test_frequent_values(spark):
+    # "x" has more relations than any group has values
+    steps = [("x", f"y{i}") for i in range(12)] + [(f"w{i}", "x") for i in range(12)]
+    groups = {1: [("y3", None), ("x", None)], 10: [("w3", 5), ("x", None)], 20: [("x", None), ("w4", None), ("y5", None)]}
+    assert survive(spark, steps, groups) == {1: "y3", 10: "x", 20: "y5"}
