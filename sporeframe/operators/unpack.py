@@ -21,6 +21,7 @@ Rows come from the executors' Arrow workers, one output row per value; a null or
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -50,28 +51,45 @@ def _lexer(style: str) -> re.Pattern:
     return _LEX[style]
 
 
-def _quoted(text: str, at: int, sep: re.Pattern, mark: re.Pattern | None) -> tuple[str, int] | None:
-    """The value quoted from ``at`` and where it ends; None if the quote doesn't close before a delimiter."""
-    close, out, i = QUOTES[text[at]], [], at + 1
-    while i < len(text):
-        c = text[i]
-        if c == "\\" and text[i + 1 : i + 2] in (close, "\\"):
-            out.append(text[i + 1])
-            i += 2
-        elif c == close:
-            if text[i + 1 : i + 2] == close:
-                out.append(close)
-                i += 2
-                continue
-            rest = text[i + 1 :]
-            if not rest.strip() or sep.match(rest) or (mark and mark.match(rest)):
-                return "".join(out), i + 1
-            out.append(c)
-            i += 1
-        else:
-            out.append(c)
+class _Closings:
+    """Where the quotes of one kind close in a text; found in one walk, so that each later question is a search.
+
+    Of a run of quotes each pair stands for a quote; the last of an odd run closes the value if a delimiter,
+    a list mark or the end follows.
+    """
+
+    def __init__(self, text: str, close: str, sep: re.Pattern, form: tuple[str, str]):
+        self.text, self.close, self.sep = text, close, sep
+        self.escape = re.compile(rf"\\([\\{close}])|{close}({close})")
+        self.mark = re.compile(rf"\s+{re.escape(form[0])}(\d+){re.escape(form[1])}\s+")
+        self.last = len(text.rstrip())
+        self.plain: list[int] = []
+        self.numbered: dict[str, list[int]] = {}
+        for m in re.finditer(rf"\\[\\{close}]|{close}+", text):
+            if m[0][0] == close and len(m[0]) % 2:
+                at = m.end() - 1
+                if self._free(at):
+                    self.plain.append(at)
+                elif n := self.mark.match(text, at + 1):
+                    self.numbered.setdefault(n[1], []).append(at)
+
+    def _free(self, at: int) -> bool:
+        return at + 1 >= self.last or bool(self.sep.match(self.text, at + 1))
+
+    def value(self, at: int, number: int) -> tuple[str, int] | None:
+        """The value quoted from ``at`` and where it ends; None if the quote doesn't close before a delimiter."""
+        text, i = self.text, at + 1
+        while text[i : i + 1] == self.close:
             i += 1
-    return None
+        end, after = i - 1, self.mark.match(text, i) if number else None
+        # an even run's first quote opens, so that its last one stands alone
+        if (i - at) % 2 or text[at] != self.close or not (self._free(end) or after and after[1] == str(number)):
+            known = [self.plain, self.numbered.get(str(number), [])] if number else [self.plain]
+            found = [xs[k] for xs in known if (k := bisect_left(xs, i if text[at] == self.close else at + 1)) < len(xs)]
+            if not found:
+                return None
+            end = min(found)
+        return self.escape.sub(lambda m: m[1] or m[2], text[at + 1 : end]), end + 1
 
 
 def split_values(text: str | None, style: str = "text") -> list[str]:
@@ -86,7 +104,8 @@ def _split(text: str, style: str, nested: bool) -> list[str] | None:
     lex, sep = _lexer(style), re.compile(STYLES[style])
     values: list[str] = []
     buf: list[str] = []
-    i, depth, number, mark = 0, 0, 0, None
+    closings: dict[str, _Closings] = {}
+    i, depth, number, mark, blank = 0, 0, 0, None, True
     form = ("", "")
     if style == "text":
         for start, a, b in _STARTS:
@@ -96,9 +115,17 @@ def _split(text: str, style: str, nested: bool) -> list[str] | None:
                 break
 
     def end() -> None:
-        if v := "".join(buf).strip():
-            values.append(v)
+        nonlocal blank
+        if not blank:
+            values.append("".join(buf).strip())
         buf.clear()
+        blank = True
+
+    def quoted() -> tuple[str, int] | None:
+        close = QUOTES[text[i]]
+        if close not in closings:
+            closings[close] = _Closings(text, close, sep, form)
+        return closings[close].value(i, number)
 
     while i < len(text):
         if mark and not depth and (m := mark.match(text, i)):
@@ -112,9 +139,10 @@ def _split(text: str, style: str, nested: bool) -> list[str] | None:
         if kind == "sep":
             if depth:
                 buf.append(m[0])
+                blank = blank and not m[0].strip()
             else:
                 end()
-        elif kind == "q" and not "".join(buf).strip() and (q := _quoted(text, i, sep, mark)):
+        elif kind == "q" and blank and (q := quoted()):
             buf.clear()
             if q[0].strip():
                 values.append(q[0].strip())
@@ -130,6 +158,7 @@ def _split(text: str, style: str, nested: bool) -> list[str] | None:
                 else:
                     depth -= 1
             buf.append(m[0])
+            blank = blank and kind == "ws"
         i = m.end()
     if depth:
         return None

@@ -1,8 +1,11 @@
+import re
+import time
+
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
-from sporeframe.operators.unpack import split_values, unpack
+from sporeframe.operators.unpack import STYLES, _Closings, split_values, unpack
 
 CASES = [
     (None, []),
@@ -46,6 +49,37 @@ def test_quoted_round_trip(values, sep):
     assert split_values(text) == values
 
 
+@given(st.text('"“”«;| \\\nab1)2(', max_size=40))
+def test_quotes_against_a_plain_walk(text):
+    # the value that a quote opens, found by looking at each character in turn
+    sep, form = re.compile(STYLES["text"]), ("", ")")
+    mark = re.compile(r"\s+2\)\s+")
+    for at, c in enumerate(text):
+        if c in '"“«' and (c != '"' or text[at - 1 : at] not in ('"', "\\")) and text[max(0, at - 1) : at] != "\\":
+            close, out, i, want = {'"': '"', "“": "”", "«": "»"}[c], [], at + 1, None
+            while i < len(text):
+                if text[i] == "\\" and text[i + 1 : i + 2] in (close, "\\"):
+                    out.append(text[i + 1])
+                    i += 2
+                elif text[i] == close and text[i + 1 : i + 2] == close:
+                    out.append(close)
+                    i += 2
+                elif text[i] == close and (not text[i + 1 :].strip() or sep.match(text, i + 1) or mark.match(text, i + 1)):
+                    want = "".join(out), i + 1
+                    break
+                else:
+                    out.append(text[i])
+                    i += 1
+            assert _Closings(text, close, sep, form).value(at, 2) == want
+
+
+@pytest.mark.parametrize("part", ['""x;', '"a', '" ', '"a;', '“a; ', '"" ', '1) "x'])
+def test_many_quotes_in_linear_time(part):
+    t = time.process_time()
+    split_values(part * 100_000)
+    assert time.process_time() - t < 6
+
+
 def test_operator(spark):
     rows = [(1, "a; b", "x"), (1, "a; b", "x"), (2, None, "x"), (3, " ", "x"), (4, "one", "x"), (None, "c | c", "x"), (5, "y; " * 5000, "x")]
     got = unpack(spark.createDataFrame(rows, "k long, f string, pos string"), "t.f", "k", "f").collect()
