@@ -9,14 +9,16 @@ capacity are cut into full containers and a rest, nothing else is cut.
 Sizes are whole numbers up to the capacity, so items of one size and containers with one gap are
 interchangeable: the supersteps run on runs of equal sizes and equal gaps, (size, first rank, number)
 against (gap, first container, number). The run table that says which ranks go to which containers is
-made from the counts by size alone. Ranks are given in parallel: within hash blocks of a size, then
-shifted by the running totals of the blocks. Rows meet their runs in an equi-join on blocks of ranks.
+made from the counts by size alone, at most as many as the capacity, in one executor task a capacity. Ranks
+are given in parallel: within hash blocks of a size, then shifted by the running totals of the blocks. Rows
+meet their runs in an equi-join on blocks of ranks. The driver sees the list of capacities only.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, insort
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -75,12 +77,12 @@ def pack(items: DataFrame, key: str, size: str, capacities: DataFrame, block_row
     ``items`` has a unique key and a whole-number size; ``capacities`` (size_name, capacity_tokens).
     Pieces count from 0 and begin at ``start``; an item is cut only if it exceeds the capacity. Items of
     size 0, less or null take no room: piece 0 of container 0. Containers are numbered from 0 for each capacity;
-    capacities that are null or below 1 give no rows.
+    capacities that are null or below 1 give no rows; of several under one name the least counts.
     """
     spark = items.sparkSession
     stages = Stages(spark, "packing")
     # the list of capacities is a parameter
-    caps = capacities.select("size_name", F.col("capacity_tokens").cast("long").alias("cap")).filter("cap > 0").distinct().collect()
+    caps = capacities.select("size_name", F.col("capacity_tokens").cast("long").alias("cap")).filter("cap > 0").groupBy("size_name").agg(F.min("cap").alias("cap")).collect()
     each = F.array(*[F.struct(F.lit(r["size_name"]).alias("size_name"), F.lit(r["cap"]).cast("long").alias("cap")) for r in caps]) if caps else F.array().cast("array<struct<size_name: string, cap: bigint>>")
     sized = stages.cut(items.select(F.col(key).alias("k"), F.greatest(F.coalesce(F.col(size).cast("long"), F.lit(0)), F.lit(0)).alias("len")).distinct())
     one = sized.select("k", "len", F.explode(each).alias("c")).select("k", "len", "c.*")
@@ -90,12 +92,13 @@ def pack(items: DataFrame, key: str, size: str, capacities: DataFrame, block_row
     pieces = pieces.withColumn("b", F.pmod(F.xxhash64("k", "piece"), F.lit(blocks)))
     by_block = stages.cut(pieces.filter("n > 0").groupBy("size_name", "cap", "n", "b").agg(F.count("*").alias("m")))
     before = by_block.select("size_name", "n", "b", (F.sum("m").over(W.partitionBy("size_name", "n").orderBy("b")) - F.col("m")).alias("off"))
+    def supersteps(counts: pd.DataFrame) -> pd.DataFrame:
+        runs = best_fit({int(n): int(m) for n, m in zip(counts["n"], counts["m"])}, int(counts["cap"].iloc[0]))
+        return pd.DataFrame([(counts["size_name"].iloc[0], *r) for r in runs], columns=["size_name", "n", "r0", "many", "c0"])
+
     # counts by size: at most `capacity` rows for each capacity
-    counts = by_block.groupBy("size_name", "cap", "n").agg(F.sum("m").alias("m")).collect()
-    plan = []
-    for name, cap in {(r["size_name"], r["cap"]) for r in counts}:
-        plan += [(name, *run) for run in best_fit({r["n"]: r["m"] for r in counts if r["size_name"] == name}, cap)]
-    runs = spark.createDataFrame(plan, "size_name string, n long, r0 long, many long, c0 long")
+    counts = by_block.groupBy("size_name", "cap", "n").agg(F.sum("m").alias("m"))
+    runs = stages.cut(counts.groupBy("size_name").applyInPandas(supersteps, "size_name string, n long, r0 long, many long, c0 long"))
     runs = stages.cut(runs.withColumn("rb", F.explode(F.sequence(F.floor(F.col("r0") / BLOCK), F.floor((F.col("r0") + F.col("many") - 1) / BLOCK)))))
     rank = F.row_number().over(W.partitionBy("size_name", "n", "b").orderBy("k", "piece")) - 1
     ranked = pieces.filter("n > 0").withColumn("r", rank).join(before, ["size_name", "n", "b"]).withColumn("r", F.col("r") + F.col("off")).withColumn("rb", F.floor(F.col("r") / BLOCK))

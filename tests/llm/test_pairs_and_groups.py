@@ -194,7 +194,7 @@ def test_best_fit_is_item_by_item():
 
 def test_pack(spark):
     sizes = [(i, (i * 37) % 90) for i in range(1, 300)] + [(1000, 555), (1001, None), (1002, 0)]
-    caps = spark.createDataFrame([("a", 100), ("b", 64), ("bad", 0), ("none", None)], "size_name string, capacity_tokens int")
+    caps = spark.createDataFrame([("a", 100), ("a", 200), ("b", 64), ("bad", 0), ("none", None)], "size_name string, capacity_tokens int")
     df = spark.createDataFrame([(*s, "q") for s in [*sizes, sizes[0]]], "id long, n int, piece string")
     got = packing.pack(df, "id", "n", caps, block_rows=40).collect()
     for name, cap in (("a", 100), ("b", 64)):
