@@ -52,3 +52,23 @@ def publisher(doi: Column) -> Column:
 
 def pdf_name(doi: Column) -> Column:
     return F.concat(F.regexp_replace(doi, r"[^A-Za-z0-9._-]+", "_"), F.lit(".pdf"))
+
+
+def record(record_id: Column, species: Column, host: Column, typification: Column, basionym_record_id: Column, name_status: Column, current_name: Column, current_name_id: Column) -> Column:
+    """struct<species, host, types, basionym, status, current_name, current_id> of a registry answer.
+
+    A name that is its own basionym has none; the current name stays with synonyms and orthographic variants
+    only; a name whose current record is itself is accepted.
+    """
+    text = lambda c: F.coalesce(F.trim(c), F.lit(""))
+    status = F.when(name_status == "Invalid", "invalid").when(name_status == "Orthographic variant", "orthographic_variant").when(F.trim(current_name_id) == record_id, "accepted").when(text(current_name) != "", "synonym").otherwise("unresolved")
+    other = status.isin("synonym", "orthographic_variant")
+    types = F.coalesce(_types(typification), F.array().cast("array<struct<type_of_type: string, material: array<string>>>"))
+    return F.struct(
+        species.alias("species"), F.trim(F.regexp_replace(F.coalesce(host, F.lit("")), "<[^>]+>", "")).alias("host"), types.alias("types"),
+        F.when(basionym_record_id == record_id, "").otherwise(F.coalesce(basionym_record_id, F.lit(""))).alias("basionym"), status.alias("status"),
+        F.when(other, text(current_name)).otherwise("").alias("current_name"), F.when(other, text(current_name_id)).otherwise("").alias("current_id"),
+    )
+
+
+_types = typification

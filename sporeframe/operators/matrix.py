@@ -51,3 +51,14 @@ def specimen_matrix(df: DataFrame, key: str, sets: Sequence[str], marker: str, a
     cell = {m: F.max_by(F.when(F.col(marker) == m, F.col(accession)), F.when(F.col(marker) == m, F.col(order))) for m in markers}
     got = df.filter(F.col(key).isNotNull()).groupBy(key).agg(*[joined_set(F.col(s)).alias(s) for s in sets], *[c.alias(m) for m, c in cell.items()])
     return got.withColumn("how_multiloci", sum((F.when(F.coalesce(F.col(m), F.lit("")) != "", 1).otherwise(0) for m in markers), F.lit(0)))
+
+
+def wide_matrix(df: DataFrame, key: str, sets: Sequence[str], marker: str, accession: str, sequence: str, order: str, markers: Sequence[str]) -> DataFrame:
+    """``specimen_matrix`` with a column ``seq<M>`` beside each marker ``M``: the sequence of the record that won the cell.
+
+    ``markers`` is a list of run time, such as the distinct ones of the data; a marker without records gives empty columns.
+    """
+    of = lambda c, m: F.max_by(F.when(F.col(marker) == m, F.struct(c)), F.when(F.col(marker) == m, F.col(order)))[c]
+    cells = [x for m in markers for x in (of(accession, m).alias(m), of(sequence, m).alias(f"seq{m}"))]
+    got = df.filter(F.col(key).isNotNull()).groupBy(key).agg(*[joined_set(F.col(s)).alias(s) for s in sets], *cells)
+    return got.withColumn("how_multiloci", sum((F.when(F.coalesce(F.col(m), F.lit("")) != "", 1).otherwise(0) for m in markers), F.lit(0)))

@@ -9,7 +9,7 @@ from ..functions import codes as C
 from ..functions import registry as R
 from ..functions import text as T
 from ..functions.missing import absent, sql_absent
-from ..operators import docrows, frames, prose, specimens
+from ..operators import docrows, frames, places, prose, specimens
 from ..session import table
 
 _WS = "[ \\t\\n\\r\\f]+"
@@ -80,18 +80,19 @@ def ngram_counts(spark, sf):
 
 
 def country_candidates(spark, sf):
-    """Countries named in sections by one to three words, each once."""
-    w = F.filter(F.split(F.lower(F.regexp_replace("text", "[^A-Za-z]+", " ")), " "), lambda x: x != "")
-    t = _sections(spark, sf).select("section_id", w.alias("w"))
-    g = t.select("section_id", F.explode(F.array_distinct(F.concat(T.ngrams(F.col("w"), 1), T.ngrams(F.col("w"), 2), T.ngrams(F.col("w"), 3)))).alias("g"))
-    v = table(spark, sf, "country_variant").filter("length(spelling) > 3").select(F.col("spelling").alias("g"), "country")
-    return g.join(F.broadcast(v), "g").groupBy("section_id").agg(F.array_join(F.array_sort(F.collect_set("country")), "|").alias("countries"))
+    """Countries named in sections by one to four words or an upper-case code, each once."""
+    c = places.mentions(_sections(spark, sf), ["section_id"], "text", table(spark, sf, "country_variant"))
+    return c.groupBy("section_id").agg(F.array_join(F.array_sort(F.collect_set("country")), "|").alias("countries"))
+
+
+#: An accession that isn't part of a longer code, or a herbarium code.
+_SPECIMEN = r"\b(?:[A-Z]{1,2}\d{5,8}|[A-Z]{4} [0-9]{3,4})\b"
 
 
 def accession_in_section(spark, sf):
-    """Sections that hold a herbarium code and exactly one country."""
+    """Accessions and herbarium codes of the sections that name exactly one country."""
     c = country_candidates(spark, sf).filter("not contains(countries, '|')")
-    k = _sections(spark, sf).select("section_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("[A-Z]{4} [0-9]{3,4}"), 0))).alias("code"))
+    k = _sections(spark, sf).select("section_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(_SPECIMEN), 0))).alias("code"))
     return k.join(c, "section_id").groupBy("code").agg(F.count("*").alias("sections"), F.min("countries").alias("country"), F.count_distinct("countries").alias("choices"))
 
 
@@ -185,7 +186,34 @@ _LINES = "(select row_id, unnest(raw_row_lines) as line, (generate_subscripts(ra
 _WORDS = f"(select section_id, list_filter(string_split(lower(regexp_replace(text, '[^A-Za-z]+', ' ', 'g')), ' '), lambda x: x <> '') as w from {_SEC})"
 _BLANK = " || ' ' || "
 _GRAM = lambda n: f"select distinct section_id, {_BLANK.join(f'w[i + {k + 1}]' for k in range(n))} as g from (select section_id, w, unnest(range(0, len(w) - {n - 1})) as i from {_WORDS})"
-_CAND = f"(select section_id, string_agg(distinct country, '|' order by country) as countries from ({_GRAM(1)} union {_GRAM(2)} union {_GRAM(3)}) join country_variant on spelling = g and length(spelling) > 3 group by 1)"
+_FOLD = lambda c: f"lower(regexp_replace(strip_accents({c}), '[^\\x00-\\x7f]', '', 'g'))"
+_LETTERS = lambda c: f"trim(regexp_replace({_FOLD(c)}, '[^a-z]+', ' ', 'g'))"
+
+
+def _mentions(source: str, keys: str) -> str:
+    """SQL of the countries that ``text`` of ``source`` names."""
+    words = f"(select {keys}, list_filter(string_split({_LETTERS('text')}, ' '), lambda x: x <> '') as w from {source})"
+    grams = " union ".join(f"select {keys}, array_to_string(w[i + 1:i + {n}], ' ') as key from (select {keys}, w, unnest(range(0, len(w) - {n - 1})) as i from {words})" for n in (1, 2, 3, 4))
+    short = "regexp_matches(spelling, '^[A-Za-z]{2,3}$')"
+    names = f"select distinct {_LETTERS('k')} as key, country from (select country, lower(country) as k from country_variant union select arg_max(country, (ord, country)), lower(spelling) from country_variant where not {short} group by 2)"
+    codes = f"select upper(spelling) as key, arg_max(country, (ord, country)) as country from country_variant where {short} group by 1"
+    found = f"select {keys}, unnest(regexp_extract_all(text, '\\b[A-Z]{{2,3}}\\b')) as key from {source}"
+    return f"(select {keys}, country from ({grams}) join ({names}) using (key) union select {keys}, country from ({found}) join ({codes}) using (key))"
+
+
+_CAND = f"(select section_id, string_agg(distinct country, '|' order by country) as countries from {_mentions(_SEC, 'section_id')} group by 1)"
+_FLAT = "regexp_replace(regexp_replace(text, '[ \\t\\n\\r\\f]+', ' ', 'g'), '(?i)\\bibid\\.?,?', '; ', 'g')"
+_CLAUSES = f"(select section_id, pos, text from (select section_id, unnest(l) as text, generate_subscripts(l, 1)::int - 1 as pos from (select section_id, regexp_split_to_array({_FLAT}, '[.;]\\s+') as l from {_SEC} where text is not null)))"
+_N4 = lambda c: f"upper(regexp_replace({c}, '[\\s:/\\-.,;()\\[\\]{{}}]', '', 'g'))"
+# vouchers of a clause in three passes, numbered by pass, hit and number
+_HITS = f"""(select section_id, pos, o, regexp_extract(h, case when o = 3 then '^([A-Z]+)' else '^([A-Z][A-Za-z''-]*)' end, 1) as name, n, p, q from (
+  select section_id, pos, 1 as o, h, p, unnest(l) as n, generate_subscripts(l, 1) as q from (select *, regexp_extract_all(h, '\\d{{2,7}}[A-Za-z]?') as l from (select section_id, pos, unnest(a) as h, generate_subscripts(a, 1) as p from (select section_id, pos, regexp_extract_all(text, '\\b[A-Z][A-Za-z''-]+\\s+\\d{{2,7}}[A-Za-z]?(?:\\s*,\\s*\\d{{2,7}}[A-Za-z]?)+\\b') as a from {_CLAUSES})))
+  union all select section_id, pos, 2, h, p, regexp_extract(h, '\\s(\\S+)$', 1), 1 from (select section_id, pos, unnest(a) as h, generate_subscripts(a, 1) as p from (select section_id, pos, regexp_extract_all(text, '\\b[A-Z][A-Za-z''-]+\\s+\\d{{2,7}}[A-Za-z]?\\b') as a from {_CLAUSES}))
+  union all select section_id, pos, 3, h, p, regexp_extract(h, '(\\d+(?:\\.\\d+)?)$', 1), 1 from (select section_id, pos, unnest(a) as h, generate_subscripts(a, 1) as p from (select section_id, pos, regexp_extract_all(text, '\\b[A-Z]{{2,}}[-\\s:]?\\d{{2,7}}(?:\\.\\d+)?\\b') as a from {_CLAUSES}))))"""
+_PAIRS = f"""(with m as (select section_id, pos, case when count(*) = 1 then min(country) else '' end as mark from {_mentions(_CLAUSES, 'section_id, pos')} group by 1, 2),
+  c as (select section_id, pos, last_value(mark ignore nulls) over (partition by section_id order by pos rows between unbounded preceding and current row) as country from {_CLAUSES} left join m using (section_id, pos)),
+  v as (select section_id, pos, arg_min(name || ' ' || n, (o, p, q)) as voucher from {_HITS} where lower(regexp_replace(name, '[^A-Za-z]', '', 'g')) not in ('', 'jan', 'feb', 'mar', 'apr', 'may', 'jun', 'jul', 'aug', 'sep', 'oct', 'nov', 'dec', 'ibid') group by 1, 2, {_N4("name || ' ' || n")})
+  select section_id, pos, voucher, country from v join c using (section_id, pos) where country <> '')"""
 SQL = {
     "windowed_events": "select strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') as start, event_type, count(*) as n from events group by 1, 2",
     "space_normalise": "select doc_id, md5(regexp_replace(regexp_replace(text, '[ \\t\\n\\r\\f]+', ' ', 'g'), '^ | $', '', 'g')) as digest from documents where text is not null",
@@ -198,7 +226,9 @@ SQL = {
     "context_window": f"""select section_id, i::int as at, array_to_string(w[greatest(1, i - 3):i + 3], ' ') as context from (select section_id, w, unnest(range(1, len(w) + 1)) as i from (select section_id, list_filter(regexp_split_to_array(text, '[ \\t\\n\\r\\f]+'), lambda x: x <> '') as w from {_SEC})) where regexp_matches(w[i], '^[A-Z]{{4}}$')""",
     "ngram_counts": f"select g as gram, count(*) as sections from ({_GRAM(2)}) group by 1 having count(*) >= 20",
     "country_candidates": f"select * from {_CAND}",
-    "accession_in_section": f"select code, count(*) as sections, min(countries) as country, count(distinct countries) as choices from (select distinct section_id, unnest(regexp_extract_all(text, '[A-Z]{{4}} [0-9]{{3,4}}')) as code from {_SEC}) join {_CAND} using (section_id) where not contains(countries, '|') group by 1",
+    "section_pairs": f"select * from {_PAIRS}",
+    "ascii_fold": f"select doc_id, {_FOLD('text')} as folded, regexp_matches(text, '^[\\x00-\\x7f]*$') as plain from documents where text is not null",
+    "accession_in_section": f"select code, count(*) as sections, min(countries) as country, count(distinct countries) as choices from (select distinct section_id, unnest(regexp_extract_all(text, '\\b(?:[A-Z]{{1,2}}[0-9]{{5,8}}|[A-Z]{{4}} [0-9]{{3,4}})\\b')) as code from {_SEC}) join {_CAND} using (section_id) where not contains(countries, '|') group by 1",
     "carry_country": "select event_id, last_value(case when event_type = 'purchase' then value end ignore nulls) over (partition by user_id order by ts rows between unbounded preceding and current row) as carried from events",
     "asof_header": "select e.event_id, p.event_id as last_hit from (select * from events where event_type <> 'purchase') e asof left join (select * from events where event_type = 'purchase') p on e.user_id = p.user_id and e.ts >= p.ts",
     "topk_hits": "select l_partkey, place, l_orderkey, l_linenumber, l_extendedprice from (select *, row_number() over (partition by l_partkey order by l_extendedprice desc, l_orderkey, l_linenumber, l_suppkey, l_quantity, l_discount, l_tax, l_shipdate)::int as place from lineitem where l_quantity >= 25 and l_discount <= 0.05) where place <= 3",
