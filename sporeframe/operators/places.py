@@ -48,7 +48,7 @@ def resolve(df: DataFrame, column: str, variants: DataFrame) -> DataFrame:
     base = F.when(base != "", base)
     tries = _tries(
         ("name", "name", low), ("alias", "alias", low), ("folded", "alias", F.when(plain != low, plain)), ("code", "code", F.when(x.rlike("^[A-Z]{2,3}$"), x)),
-        ("base", "name", F.lower(base)), ("base", "alias", F.lower(base)), ("base", "code", F.when(base.rlike("^[A-Z]{2}$"), base)),
+        ("base", "name", F.lower(base)), ("base", "alias", F.lower(base)), ("base", "code", F.when(base.rlike("^[A-Z]{2,3}$"), base)),
     )
     return _first_hit(_values(df, column), tries, variants)
 

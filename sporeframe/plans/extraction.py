@@ -222,7 +222,7 @@ _KEYS = f"""(select kind, key, arg_max(country, (ord, country)) as country from
 def _resolve_sql(source: str) -> str:
     """SQL of ``places.resolve`` over ``source`` (x)."""
     base = "trim(regexp_extract(trim(x), '^([A-Za-z .]+?)\\s*\\(', 1))"
-    steps = [("name", "name", "lower(trim(x))", "true"), ("alias", "alias", "lower(trim(x))", "true"), ("folded", "alias", _FOLD("trim(x)"), f"{_FOLD('trim(x)')} <> lower(trim(x))"), ("code", "code", "trim(x)", "regexp_matches(trim(x), '^[A-Z]{2,3}$')"), ("base", "name", f"lower({base})", f"{base} <> ''"), ("base", "alias", f"lower({base})", f"{base} <> ''"), ("base", "code", base, f"regexp_matches({base}, '^[A-Z]{{2}}$')")]
+    steps = [("name", "name", "lower(trim(x))", "true"), ("alias", "alias", "lower(trim(x))", "true"), ("folded", "alias", _FOLD("trim(x)"), f"{_FOLD('trim(x)')} <> lower(trim(x))"), ("code", "code", "trim(x)", "regexp_matches(trim(x), '^[A-Z]{2,3}$')"), ("base", "name", f"lower({base})", f"{base} <> ''"), ("base", "alias", f"lower({base})", f"{base} <> ''"), ("base", "code", base, f"regexp_matches({base}, '^[A-Z]{{2,3}}$')")]
     tries = " union all ".join(f"select x as value, {i} as step, '{how}' as how, '{kind}' as kind, {key} as key from {source} where {when}" for i, (how, kind, key, when) in enumerate(steps))
     return f"(select value, arg_min(country, step) as country, arg_min(how, step) as how from ({tries}) join {_KEYS} using (kind, key) group by 1)"
 
