@@ -50,13 +50,29 @@ def occurrence_country(country: Column, code_name: Column, verbatim: Column, pub
     return F.coalesce(pick(country), pick(code_name), *([pick(publishing)] if publishing is not None else []), pick(verbatim))
 
 
-def occurrence_matches(code: Column, catalog: Column, collection: Column, other: Column) -> Column:
-    """An occurrence bears a code: equal after normalisation, alone or with its collection, or all its letters and digits occur."""
-    from .codes import chunks_contained, code_key_match
+def occurrence_matches(code: Column, fields: list[Column], species: Column | None = None, name: Column | None = None) -> Column:
+    """An occurrence bears a code: a field equals it after normalisation; or, if the genera don't differ, it fits.
+
+    A code of letters and digits fits if all its runs occur in one field or in all fields together, one of letters
+    only if one of its words is a whole word of a field; digits alone must be equal. The genus of ``species`` must
+    occur in ``name`` where both are given.
+    """
+    from .codes import code_key_match, genus_of
 
     key = code_key_match(code)
-    both = F.concat_ws(" ", collection, catalog)
-    return F.coalesce(key == code_key_match(catalog), F.lit(False)) | F.coalesce(key == code_key_match(both), F.lit(False)) | F.coalesce(chunks_contained(code, F.concat_ws(" ", both, other)), F.lit(False))
+    letters, digits = F.transform(F.regexp_extract_all(code, F.lit("[A-Za-z]+"), 0), lambda x: F.lower(x)), F.regexp_extract_all(code, F.lit("[0-9]+"), 0)
+    runs = F.concat(letters, digits)
+    texts = F.filter(F.array(*fields), lambda v: v.isNotNull())
+    merged = code_key_match(F.array_join(texts, ""))
+    holds = lambda text: F.forall(runs, lambda r: F.contains(text, r))
+    both = (F.size(letters) > 0) & (F.size(digits) > 0)
+    word = F.exists(texts, lambda v: F.arrays_overlap(letters, F.split(F.lower(v), r"\W+")))
+    fits = F.when(both, holds(merged) | F.exists(texts, lambda v: holds(F.lower(v)))).when(F.size(letters) > 0, word).otherwise(F.lit(False))
+    if species is not None and name is not None:
+        genus = F.lower(genus_of(species))
+        fits = fits & (genus.isNull() | (F.coalesce(F.trim(name), F.lit("")) == "") | F.contains(F.lower(name), genus))
+    equal = F.exists(texts, lambda v: (code_key_match(v) == key) & (key != ""))
+    return F.coalesce((key != "") & (equal | fits), F.lit(False))
 
 
 def salvaged_pairs(answer: Column) -> Column:
@@ -68,3 +84,17 @@ def salvaged_pairs(answer: Column) -> Column:
     loose = F.transform(hits, lambda h: F.struct(F.regexp_extract(h, r'"voucher"\s*:\s*"([^"]*)"', 1).alias("voucher"), F.regexp_extract(h, r'"country"\s*:\s*"([^"]*)"', 1).alias("country")))
     good = lambda a: F.when(F.exists(a, lambda x: x["voucher"].isNotNull()), a)
     return F.coalesce(good(strict), good(inner), loose)
+
+
+def publisher_of(url: Column, domains: dict[str, tuple[str, ...]] | None = None) -> Column:
+    """The first publisher one of whose domains occurs in the address, ``generic`` for others. ``domains`` is a parameter."""
+    low = F.lower(url)
+    out = F.when(low.isNull(), F.lit(None).cast("string"))
+    for name, parts in (DOMAINS if domains is None else domains).items():
+        for d in parts:
+            out = out.when(low.contains(d), name)
+    return out.otherwise("generic")
+
+
+#: Domains of publishers whose supplement pages differ.
+DOMAINS = {"springer": ("springer.com", "link.springer"), "wiley": ("wiley.com",), "elsevier": ("sciencedirect.com", "elsevier.com"), "taylor": ("tandfonline.com",), "mdpi": ("mdpi.com",), "pensoft": ("pensoft.net",), "frontiers": ("frontiersin.org",), "plos": ("plos.org",)}

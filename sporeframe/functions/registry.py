@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 #: Kinds of type material.
 KINDS = ("holotype", "isotype", "paratype", "neotype", "lectotype", "epitype", "isolectotype", "syntype")
 _KIND = r"(?i)\b(" + "|".join(KINDS) + r")s?\b"
-#: Publisher by domain, first match wins.
-PUBLISHERS = (("mycox", "10.99872"), ("verandian", "10.99871"), ("polypore", "10.99873"), ("sheets", "10.99874"))
+#: Publishers by the prefix of their DOIs.
+PUBLISHERS = (("springer", "10.1007/"), ("elsevier", "10.1016/"), ("wiley", "10.1111/"), ("wiley", "10.1002/"), ("taylor", "10.1080/"), ("mdpi", "10.3390/"), ("pensoft", "10.3897/"), ("frontiers", "10.3389/"), ("plos", "10.1371/"))
 
 
 def typification(c: Column) -> Column:
@@ -43,9 +43,10 @@ def protologue(journal: Column, volume: Column, part: Column, page: Column, year
     return F.concat_ws(" ", journal, F.concat(F.coalesce(vol, F.lit("")), F.coalesce(F.concat(F.lit(": "), page), F.lit(""))), F.concat(F.lit("("), year, F.lit(")")))
 
 
-def publisher(doi: Column) -> Column:
+def publisher(doi: Column, prefixes: tuple[tuple[str, str], ...] = PUBLISHERS) -> Column:
+    """The first publisher whose prefix the DOI has; null for others."""
     out = None
-    for name, prefix in PUBLISHERS:
+    for name, prefix in prefixes:
         out = F.when(doi.startswith(prefix), name) if out is None else out.when(doi.startswith(prefix), name)
     return out
 

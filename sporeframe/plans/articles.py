@@ -13,6 +13,8 @@ from ..functions.missing import absent, missing, sql_absent
 from ..operators import frames, matrix, prose, unpack
 from ..session import table
 
+#: Journals of the test tables by the prefix of their DOIs.
+JOURNALS = (("mycox", "10.99872"), ("verandian", "10.99871"), ("polypore", "10.99873"), ("sheets", "10.99874"))
 _MISS = lambda c: f"(coalesce(lower(trim({c})), '') in ('', 'nan', 'none'))"
 _VERSIONLESS = lambda c: f"upper(regexp_replace(trim({c}), '\\.\\d+$', ''))"
 
@@ -69,7 +71,7 @@ def article_stats(spark, sf):
 
 def doi_names(spark, sf):
     """Store keys of the articles: hash, file name and publisher."""
-    return table(spark, sf, "article").select("doi", F.md5("doi").alias("doi_hash"), R.pdf_name(F.col("doi")).alias("pdf"), R.publisher(F.col("doi")).alias("publisher"))
+    return table(spark, sf, "article").select("doi", F.md5("doi").alias("doi_hash"), R.pdf_name(F.col("doi")).alias("pdf"), R.publisher(F.col("doi"), JOURNALS).alias("publisher"))
 
 
 def species_union(spark, sf):

@@ -11,6 +11,7 @@ from ..functions import text as T
 from ..functions.missing import absent, sql_absent
 from ..operators import docrows, frames, places, prose, specimens
 from ..session import table
+from .articles import JOURNALS
 
 _WS = "[ \\t\\n\\r\\f]+"
 
@@ -130,7 +131,7 @@ def html_links(spark, sf):
 
 def publisher_match(spark, sf):
     t = table(spark, sf, "documents").filter("doi is not null").select("doi").distinct()
-    return t.groupBy(R.publisher(F.col("doi")).alias("publisher")).agg(F.count("*").alias("articles"))
+    return t.groupBy(R.publisher(F.col("doi"), JOURNALS).alias("publisher")).agg(F.count("*").alias("articles"))
 
 
 def source_lengths(spark, sf):

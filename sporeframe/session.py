@@ -54,19 +54,46 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dir
 
 
+_roots: set[str] = set()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system, if it exists."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the stage tables of all results so far; to be called when those have been written or read."""
+    while _roots:
+        delete_path(spark, _roots.pop())
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    spark = SparkSession.getActiveSession() if _roots else None
+    if spark is not None:
+        try:
+            release(spark)
+        except Exception:  # the session may be gone already
+            return
+
+
 class Stages:
     """Intermediate tables written to the shared folder, so that lineage ends there.
 
     A written table survives the loss of any executor, is computed once and, unlike a row-wise
-    checkpoint, is compressed and columnar. ``drop`` removes tables that nothing reads any more.
+    checkpoint, is compressed and columnar. ``drop`` removes tables that nothing reads any more,
+    ``release`` those of whole results, as the end of the program does.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self.n = 0
+        _roots.add(self.root)
 
-    def cut(self, df: DataFrame, partition_rows: int | None = None) -> DataFrame:
+    def cut(self, df: DataFrame) -> DataFrame:
         """Write ``df`` and return the written table."""
         self.n += 1
         path = f"{self.root}/{self.n:03d}"
@@ -76,10 +103,6 @@ class Stages:
         return out
 
     def drop(self, *dfs: DataFrame) -> None:
-        jvm = self.spark._jvm
-        conf = self.spark._jsc.hadoopConfiguration()
         for df in dfs:
-            path = getattr(df, "_stage_path", None)
-            if path:
-                p = jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(conf).delete(p, True)
+            if path := getattr(df, "_stage_path", None):
+                delete_path(self.spark, path)

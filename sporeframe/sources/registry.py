@@ -10,7 +10,7 @@ RECORD = "struct<species: string, author: string, protologue: string, basionym:
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     """A JSON store ``{record_id: record}`` of whole files as one row a record."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     m = F.from_json("value", f"map<string, {RECORD}>")
     return raw.select(F.explode(m).alias("record_id", "r")).select("record_id", "r.*")
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-CELLS = "file string, tab int, r int, c int, value string"
+CELLS = "file string, tab int, r int, c int, value string, error string"
 _WORD = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 _SHEET = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 
@@ -21,14 +21,19 @@ _SHEET = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 def pipe_tables(lines: DataFrame, doc: str, line_no: str, line: str) -> DataFrame:
     """Cells ``(doc, tab, r, c, value)`` of markdown tables; separator rows vanish, the header is row 0.
 
-    Tables are runs of lines that begin with a bar. Short rows have fewer cells.
+    Tables are runs of lines that begin with a bar. Every row has as many cells as the header: short ones are
+    padded with empty cells, of long ones the further cells follow in the last column after a bar.
     """
     w = W.partitionBy(doc).orderBy(line_no)
     x = lines.select(doc, line_no, F.trim(line).alias("l")).withColumn("i", F.row_number().over(w)).filter("l like '|%'")
     x = x.withColumn("g", F.col("i") - F.row_number().over(w)).filter(~F.col("l").rlike(r"^\|[\s:|-]+\|?$"))
     x = x.withColumn("tab", F.dense_rank().over(W.partitionBy(doc).orderBy("g")) - 1).withColumn("r", F.row_number().over(W.partitionBy(doc, "g").orderBy(line_no)) - 1)
     cells = F.transform(F.split(F.regexp_replace("l", r"^\||\|$", ""), r"\|"), lambda v: F.trim(v))
-    return x.select(doc, "tab", "r", F.posexplode(cells).alias("c", "value"))
+    x = x.select(doc, "tab", "r", cells.alias("cells")).withColumn("n", F.max(F.when(F.col("r") == 0, F.size("cells"))).over(W.partitionBy(doc, "tab")))
+    last = F.array_join(F.slice("cells", F.col("n"), F.greatest(F.size("cells") - F.col("n") + 1, F.lit(1))), " | ")
+    padded = F.concat("cells", F.array_repeat(F.lit(""), F.col("n") - F.size("cells")))
+    fit = F.when(F.size("cells") > F.col("n"), F.concat(F.slice("cells", F.lit(1), F.col("n") - 1), F.array(last))).otherwise(padded)
+    return x.select(doc, "tab", "r", F.posexplode(fit).alias("c", "value"))
 
 
 def classify_tables(cells: DataFrame, doc: str) -> DataFrame:
@@ -89,8 +94,8 @@ def _docx(raw: bytes) -> list[list[list[str]]]:
 _READERS = {"csv": _csv, "tsv": _csv, "txt": _csv, "xlsx": _xlsx, "docx": _docx}
 
 
-def tables_of(name: str, raw: bytes) -> Iterator[tuple[str, list[list[str]]]]:
-    """(file name, rows) of each table of a file; archives are opened, unknown and broken files have none."""
+def tables_of(name: str, raw: bytes) -> Iterator[tuple[str, list[list[str]] | str]]:
+    """(file name, rows) of each table of a file; archives are opened, unknown files have none. A broken file gives its error instead of rows."""
     kind = name.rpartition(".")[2].lower()
     try:
         if kind == "zip":
@@ -101,17 +106,22 @@ def tables_of(name: str, raw: bytes) -> Iterator[tuple[str, list[list[str]]]]:
         elif kind in _READERS:
             for t in _READERS[kind](raw):
                 yield name, t
-    except (zipfile.BadZipFile, ElementTree.ParseError, KeyError, ValueError):
-        return
+    except (zipfile.BadZipFile, ElementTree.ParseError, KeyError, ValueError, IndexError) as e:
+        yield name, f"{type(e).__name__}: {e}"
 
 
 def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         for path, raw in zip(b["path"], b["content"]):
-            out = [(f, k, r, c, v.strip()) for k, (f, rows) in enumerate(tables_of(path.rpartition("/")[2], raw)) for r, row in enumerate(rows) for c, v in enumerate(row)]
-            yield pd.DataFrame(out, columns=["file", "tab", "r", "c", "value"]).astype({"tab": "int32", "r": "int32", "c": "int32"})
+            out: list[tuple] = []
+            for k, (f, rows) in enumerate(tables_of(path.rpartition("/")[2], raw)):
+                if isinstance(rows, str):
+                    out.append((f, k, None, None, None, rows))
+                else:
+                    out += [(f, k, r, c, v.strip(), None) for r, row in enumerate(rows) for c, v in enumerate(row)]
+            yield pd.DataFrame(out, columns=["file", "tab", "r", "c", "value", "error"]).astype({"tab": "Int32", "r": "Int32", "c": "Int32"})
 
 
 def read_supplements(spark: SparkSession, path: str) -> DataFrame:
-    """Cells ``(file, tab, r, c, value)`` of all tables of csv, tsv, xlsx, docx and zip files."""
+    """Cells ``(file, tab, r, c, value, error)`` of all tables of csv, tsv, xlsx, docx and zip files; a broken file is one row with its error."""
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(_cells, CELLS)

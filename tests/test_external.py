@@ -27,7 +27,7 @@ def test_links(spark):
 
 def test_occurrences(spark):
     df = spark.createDataFrame([("FLOR 74360", "74360", "FLOR", None), ("FLOR 74360", "FLOR-74360", None, None), ("FLOR 74360", "74361", "FLOR", None), ("AB 12", None, None, "old AB no 12")], "c string, a string, b string, o string")
-    assert [r[0] for r in df.select(X.occurrence_matches(F.col("c"), F.col("a"), F.col("b"), F.col("o"))).collect()] == [True, True, False, True]
+    assert [r[0] for r in df.select(X.occurrence_matches(F.col("c"), [F.col("a"), F.col("b"), F.col("o")])).collect()] == [True, True, False, True]
     c = spark.createDataFrame([(None, None, None, "GB"), ("", "Peru", "x", "GB")], "a string, b string, v string, p string")
     assert [r[0] for r in c.select(X.occurrence_country(F.col("a"), F.col("b"), F.col("v"))).collect()] == [None, "Peru"]
     assert [r[0] for r in c.select(X.occurrence_country(F.col("a"), F.col("b"), F.col("v"), F.col("p"))).collect()] == ["GB", "Peru"]
