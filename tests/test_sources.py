@@ -192,7 +192,9 @@ def test_stage_tables_are_released(spark):
     from sporeframe.operators import cluster
     from sporeframe.session import release, shared_dir
 
-    release(spark)
+    at = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(at))
     cluster.components(spark.createDataFrame([(1, "a"), (2, "a")], "r long, v string"), "r", "v").collect()
+    assert set(os.listdir(at)) - before
     release(spark)
-    assert not [x for x in os.listdir(shared_dir(spark).removeprefix("file:")) if x.startswith("clusters")]
+    assert not set(os.listdir(at)) - before
