@@ -25,7 +25,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from math import log
 
 import numpy as np
@@ -44,8 +44,10 @@ EVIDENCE = 0.5
 CLOSE = 0.6
 #: Evidence of a single token at most.
 CLIP = 5.0
-#: Sentences whose scores a worker remembers.
-MEMORY = 50_000
+#: Sentences whose scores a worker remembers, words whose tokens it remembers, documents that it scores at a time.
+MEMORY, WORDS_KEPT, AT_ONCE = 50_000, 200_000, 500
+#: Sentences longer than this are scored one by one.
+LONG = 400
 #: Words that offend by themselves, as prior occurrences; ratings decide beside them.
 LEXICON = {
     "abusive": "idiot moron imbecile cretin stupid dumb loser scumbag jerk clown fraud liar pathetic worthless disgusting halfwit numbskull bastard asshole bitch trash garbage filthy brainless kill yourself fuck idiota imbecil estupido estupida inutil mierda callate muere palhaco burro lixo otario cala idioten dummkopf schwachkopf arschloch maul dumm verreck <mask>",
@@ -75,15 +77,13 @@ def normalise(text: str) -> str:
     return _SPELLED.sub(lambda m: re.sub(r"[ .\-_*]", "", m[0]), x)
 
 
-def tokens(sentence: str) -> list[str]:
-    """Tokens of a normalised sentence; a number or several in a row become one sign, masked words another."""
+def _forms(word: str) -> tuple[str, ...]:
+    """The tokens of one word of a normalised sentence."""
+    parts = [word]
+    if "-" in word or "_" in word:
+        joined = word.translate(_JOIN)
+        parts = [joined] if joined in _SEEDS else re.split("[-_]+", word)
     out = []
-    parts: list[str] = []
-    for w in _TOKEN.findall(sentence):
-        if ("-" in w or "_" in w) and w.translate(_JOIN) not in _SEEDS:
-            parts += re.split("[-_]+", w)
-        else:
-            parts.append(w.translate(_JOIN) if "-" in w or "_" in w else w)
     for w in parts:
         if re.search("[а-яіјѕ]", w) and re.search("[a-z]", w):
             w = w.translate(LOOKALIKES)
@@ -98,8 +98,31 @@ def tokens(sentence: str) -> list[str]:
                 w = w.translate(LEET)
         elif "@" in w or "$" in w:
             w = w.translate(LEET)
-        if w != "<num>" or out[-1:] != ["<num>"]:
-            out.append(w)
+        out.append(w)
+    return tuple(out)
+
+
+class _Forms(dict):
+    """Tokens by word; forgets all when there are too many, so that memory is bounded."""
+
+    def __missing__(self, word: str) -> tuple[str, ...]:
+        got = _forms(word)
+        if len(self) > WORDS_KEPT:
+            self.clear()
+        self[word] = got
+        return got
+
+
+_KNOWN = _Forms()
+
+
+def tokens(sentence: str) -> list[str]:
+    """Tokens of a normalised sentence; a number or several in a row become one sign, masked words another."""
+    out: list[str] = []
+    for word in _TOKEN.findall(sentence):
+        for w in ("<num>",) if word.isdigit() else _KNOWN[word]:
+            if w != "<num>" or out[-1:] != ["<num>"]:
+                out.append(w)
     return out
 
 
@@ -134,6 +157,15 @@ class Model:
         self.p2, self.b2 = self._level(c2, size)
         self.p1, b1 = self._level(c1, 0)
         self.b1 = b1.get(0, 1.0)
+        # the same tables as arrays: dense by word, sorted by key
+        first = np.zeros(size)
+        first[list(self.p1)] = list(self.p1.values())
+        self.low = first + self.b1 * np.asarray(base)
+        self.back2 = np.full(size, np.nan)
+        self.back2[list(self.b2)] = list(self.b2.values())
+        self.key2, self.val2 = self._sorted(self.p2)
+        self.key3, self.val3 = self._sorted(self.p3)
+        self.head3, self.back3 = self._sorted(self.b3)
 
     @staticmethod
     def _level(counts: dict[int, float], size: int) -> tuple[dict[int, float], dict[int, float]]:
@@ -147,6 +179,30 @@ class Model:
             kept[h] = kept.get(h, 0.0) + cut(n)
         return {k: cut(n) / total[k // size if size else 0] for k, n in counts.items()}, {h: 1 - kept[h] / t for h, t in total.items()}
 
+    @staticmethod
+    def _sorted(table: dict[int, float]) -> tuple[np.ndarray, np.ndarray]:
+        keys = np.fromiter(table, np.int64, len(table))
+        order = np.argsort(keys)
+        return keys[order], np.fromiter(table.values(), float, len(table))[order]
+
+    @staticmethod
+    def _at(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """Values of the wanted keys, NaN where there is none."""
+        if not len(keys):
+            return np.full(len(wanted), np.nan)
+        i = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return np.where(keys[i] == wanted, values[i], np.nan)
+
+    def logs_of(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """``logs`` for many tokens ``c`` after the tokens ``a`` and ``b``."""
+        p = self.low[c]
+        m = self.back2[b]
+        p = np.where(np.isnan(m), p, np.nan_to_num(self._at(self.key2, self.val2, b * self.size + c)) + m * p)
+        h = a * self.size + b
+        m = self._at(self.head3, self.back3, h)
+        p = np.where(np.isnan(m), p, np.nan_to_num(self._at(self.key3, self.val3, h * self.size + c)) + m * p)
+        return np.where(c > 1, np.log(np.maximum(p, 1e-300)), 0.0)
+
     def prob(self, a: int, b: int, c: int) -> float:
         size = self.size
         p = self.p1.get(c, 0.0) + self.b1 * self.base[c]
@@ -189,6 +245,28 @@ def best_stretch(x: list[float], clip: float = CLIP) -> float:
         q = better
 
 
+def best_stretches(x: np.ndarray, clip: float = CLIP) -> np.ndarray:
+    """``best_stretch`` of each row; rows are padded with NaN at their ends."""
+    x = np.where(np.isnan(x), -1e12, np.clip(x, -clip, clip))
+    q = x.max(axis=1) / (1 + PRIOR_LENGTH)
+    todo = np.arange(len(x))
+    while len(todo):
+        y, r = x[todo], q[todo]
+        run, length = np.zeros(len(todo)), np.zeros(len(todo))
+        top, total, n = np.full(len(todo), -1e18), np.zeros(len(todo)), np.zeros(len(todo))
+        for v in y.T:
+            on = run - r * length > 0
+            run, length = np.where(on, run, 0.0) + v, np.where(on, length, 0.0) + 1
+            value = run - r * length
+            more = value > top
+            top, total, n = np.where(more, value, top), np.where(more, run, total), np.where(more, length, n)
+        better = total / (n + PRIOR_LENGTH)
+        grown = better > r + 1e-9
+        q[todo[grown]] = better[grown]
+        todo = todo[grown]
+    return q
+
+
 class Scorer:
     """0 is the sentence start, 1 any unknown word."""
 
@@ -226,19 +304,54 @@ class Scorer:
         Clipped evidence levels off, so that an expression of one category that was rated as another a few
         times would be a tie; what leads of those that are close is told by the evidence without the clip.
         """
-        got = self._memo.get(s)
-        if got is None:
-            plain = self.ordinary.logs(s)
-            over = {c: [a - b for a, b in zip(m.logs(s), plain)] for c, m in self.toxic.items()}
-            got = {c: best_stretch(x) for c, x in over.items()}
-            top = max(got.values(), default=0.0)
-            close = [c for c, v in got.items() if v >= CLOSE * top] if top >= EVIDENCE else []
-            lead = max(close, key=lambda c: best_stretch(over[c], 1e9)) if len(close) > 1 else max(got, key=got.get, default=None)
-            got = {c: got[c] for c in sorted(got, key=lambda c: c != lead)}
-            if len(self._memo) > MEMORY:
-                self._memo.clear()
-            self._memo[s] = got
-        return got
+        if s not in self._memo:
+            self.learn([s])
+        return self._memo[s]
+
+    def learn(self, wanted: Iterable[tuple[int, ...]]) -> None:
+        """Score the sentences that aren't remembered, those of about one length together."""
+        new = sorted({s for s in wanted if s not in self._memo}, key=len)
+        cats = list(self.toxic)
+        if not cats:
+            self._memo.update(dict.fromkeys(new, {}))
+            return
+        lo = 0
+        while lo < len(new):
+            hi = lo + 1
+            longest = max(len(new[lo]) + 2, len(new[lo]) * 5 // 4)
+            while hi < len(new) and len(new[hi]) <= longest and hi - lo < 4096 and len(new[hi]) <= LONG:
+                hi += 1
+            part, lo = new[lo:hi], hi
+            over = self._over(part)
+            if len(part[-1]) > LONG:
+                got = [[best_stretch(x[k].tolist()) for x in over] for k in range(len(part))]
+            else:
+                got = np.stack([best_stretches(x) for x in over], axis=1).tolist()
+            for k, (s, v) in enumerate(zip(part, got)):
+                top = max(v)
+                close = [i for i, y in enumerate(v) if y >= CLOSE * top] if top >= EVIDENCE else []
+                if len(close) > 1:
+                    lead = max(close, key=lambda i: best_stretch([y for y in over[i][k].tolist() if y == y], 1e9))
+                else:
+                    lead = max(range(len(v)), key=v.__getitem__)
+                self._memo[s] = {cats[i]: v[i] for i in sorted(range(len(v)), key=lambda i: i != lead)}
+
+    def _over(self, part: list[tuple[int, ...]]) -> list[np.ndarray]:
+        """For each category the evidence of every token, a row a sentence; NaN beyond its end."""
+        width = max(map(len, part))
+        c = np.zeros((len(part), width + 2), np.int64)
+        inside = np.zeros((len(part), width), bool)
+        for k, s in enumerate(part):
+            c[k, 2 : len(s) + 2] = s
+            inside[k, : len(s)] = True
+        a, b, w = c[:, :-2][inside], c[:, 1:-1][inside], c[:, 2:][inside]
+        plain = self.ordinary.logs_of(a, b, w)
+        out = []
+        for m in self.toxic.values():
+            x = np.full(inside.shape, np.nan)
+            x[inside] = m.logs_of(a, b, w) - plain
+            out.append(x)
+        return out
 
     def of(self, ss: list[tuple[int, ...]]) -> dict[str, float]:
         """The best evidence over sentences. A sentence speaks only for the category that explains it best.
@@ -253,8 +366,15 @@ class Scorer:
                 out[c] = max(out[c], v if c == lead else min(0.0, v - got[lead]))
         return out
 
-    def document(self, text: str | None) -> dict[str, float]:
-        return self.of([self.numbers(s) for s in sentences(text)])
+    def documents(self, texts: Iterable[str | None]) -> Iterator[dict[str, float]]:
+        """The evidence of each text; sentences of ``AT_ONCE`` texts are scored together."""
+        texts = list(texts)
+        for k in range(0, len(texts), AT_ONCE):
+            read = [[self.numbers(s) for s in sentences(t)] for t in texts[k : k + AT_ONCE]]
+            if len(self._memo) > MEMORY:
+                self._memo.clear()
+            self.learn(s for ss in read for s in ss)
+            yield from map(self.of, read)
 
 
 Rated = list[tuple[list[tuple[int, ...]], set[str]]]
@@ -315,6 +435,9 @@ def _models(docs: Rated, words: dict[str, int]) -> Scorer:
     odds = [_odds(halves[1], words), _odds(halves[0], words)]
     judges: list = [None, None]
     for _ in range(ROUNDS + 1):
+        for h, half in enumerate(halves):
+            if judges[h]:
+                judges[h].__self__.learn(s for ss, _ in half for s in ss)
         rows: list[dict[str, Counter]] = []
         for h, half in enumerate(halves):
             row: dict[str, Counter] = {c: Counter() for c in CATEGORIES}
@@ -373,6 +496,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: in
     held: dict[str, tuple[list, list]] = {c: ([], []) for c in CATEGORIES}
     for k in range(folds):
         part = _models([d for i, d in enumerate(docs) if i % folds != k], words)
+        part.learn(s for ss, _ in docs[k::folds] for s in ss)
         for ss, cats in docs[k::folds]:
             got = part.of(ss)
             for c in CATEGORIES:
@@ -400,8 +524,7 @@ def score(documents: DataFrame, scorer: Scorer) -> DataFrame:
         sc = shared.value
         for b in batches:
             ids, cats, vals, found = [], [], [], []
-            for i, t in zip(b["doc_id"], b["text"]):
-                got = sc.document(t)
+            for i, got in zip(b["doc_id"], sc.documents(b["text"])):
                 for c in CATEGORIES:
                     v = got.get(c, -np.inf)
                     ids.append(i)
