@@ -71,9 +71,23 @@ _SENTENCE = re.compile(r"(?<=[.!?…])\s+|\n+")
 _MASK = re.compile(r"[^\W\d_][*#]+|[*#]+[^\W\d_]")
 
 
+class _Marks(dict):
+    """Translation table without combining marks, filled as characters occur."""
+
+    def __missing__(self, code: int) -> int | None:
+        self[code] = None if unicodedata.combining(chr(code)) else code
+        return self[code]
+
+
+_NO_MARKS = _Marks()
+
+
 def normalise(text: str) -> str:
-    x = _INVISIBLE.sub("", unicodedata.normalize("NFKC", text))
-    x = "".join(c for c in unicodedata.normalize("NFKD", x.casefold()) if not unicodedata.combining(c))
+    if text.isascii():
+        x = text.lower()
+    else:
+        x = _INVISIBLE.sub("", unicodedata.normalize("NFKC", text))
+        x = unicodedata.normalize("NFKD", x.casefold()).translate(_NO_MARKS)
     return _SPELLED.sub(lambda m: re.sub(r"[ .\-_*]", "", m[0]), x)
 
 
