@@ -8,10 +8,12 @@ characters: for every character it weighs keep, replace, delete and insert, and
 a word, joining it with or without its hyphen. It learns from words of the sample that are damaged
 by the known confusions of scanners, and from undamaged ones.
 
-Decisions rest on the whole corpus: every distinct word is counted over all rows; the editor proposes
-several readings of each rare or odd word, and an equi-join with the counts finds those that exist. A
-reading replaces a word if it is far more frequent than the word itself, or if the word can't stand as it
-is (signs or digits inside letters, letters inside digits). Rows are read whole; nothing is cut.
+Decisions rest on the whole corpus: every distinct word is counted over all rows. What a scanner confuses
+has the same strokes: ``m`` and ``rn``, ``d`` and ``cl``, ``e`` and ``c``. Each letter stands for its strokes
+whatever its neighbours, so that an equi-join on the strokes finds all existing words that a damaged one may
+have been, however many of its characters are wrong, and no others reach the editor, which weighs the edits
+that lead to each. A reading replaces a word if it is far more frequent than the word itself, or if the word
+can't stand as it is (signs or digits inside letters, letters inside digits). Rows are read whole; nothing is cut.
 """
 
 from __future__ import annotations
@@ -19,10 +21,10 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Stages
@@ -119,17 +121,17 @@ def _shape(line: str) -> list[str]:
         f"cont={bool(re.search(r'contin|table', x, re.I))}",
         f"n={min(len(words), 7)}",
     ]
-    return f + [f"w={w.lower()}" for w in words[:12]]
+    return f + [f"w={w.lower()}" for w in words]
 
 
-def line_features(lines: list[str], own: set[str] = frozenset()) -> list[list[str]]:
-    """Features of every line of a block, with those of its place; ``own`` are values known to belong to the row."""
+def line_features(lines: list[str], own: set[str] = frozenset(), asked: Callable[[str], bool] = str.strip) -> list[list[str]]:
+    """Features of the lines of a block that are asked for, with those of their place; ``own`` are values known to belong to the row."""
     full = sorted((len(x) for x in lines if x.strip()), reverse=True)
     width = full[len(full) // 4] if full else 1
     page = [bool(_PAGE.fullmatch(x)) for x in lines]
     out = []
     for i, x in enumerate(lines):
-        if not x.strip():
+        if not asked(x):
             out.append([])
             continue
         a, b = i - 1, i + 1
@@ -197,8 +199,9 @@ def train_lines(blocks: list[tuple[list[str], set[str]]], rounds: int = 2) -> Pe
             for f, y in part:
                 model.learn(f, LABELS, y)
         model.finish()
+    model.lean = {f: v for f, d in model.w.items() if (v := d.get("header", 0.0) - d.get("body", 0.0))}
     # how header-like form and words alone must be to outweigh an unusual place
-    body = sorted(_margin(model, f, False) for f, y in rows if y == "body")
+    body = sorted(_margins(model, f)[1] for f, y in rows if y == "body")
     model.bar = max(0.0, body[int(0.999 * (len(body) - 1))]) if body else 0.0
     return model
 
@@ -206,13 +209,34 @@ def train_lines(blocks: list[tuple[list[str], set[str]]], rounds: int = 2) -> Pe
 PLACE = ("short=", "near=", "runs=", "first=", "last=", "cut=", "cutshort=", "row=", "up=")
 
 
-def _margin(model: Perceptron, feats: list[str], place: bool = True) -> float:
-    s = model.scores(feats if place else [f for f in feats if not f.startswith(PLACE)], LABELS[:2])
-    return s["header"] - s["body"]
+def _margins(model: Perceptron, feats: list[str]) -> tuple[float, float]:
+    """How much more the features speak for a header than for the body: all of them, and those of form and words alone."""
+    lean = model.lean
+    form = place = 0.0
+    for f in feats:
+        if (v := lean.get(f)) is not None:
+            if f.startswith(PLACE):
+                place += v
+            else:
+                form += v
+    return form + place, form
 
 
-def is_header(model: Perceptron, line: str, feats: list[str]) -> bool:
-    return "own=True" not in feats and not line.lstrip()[:1].islower() and (_margin(model, feats) > 0 or _margin(model, feats, False) > model.bar)
+def may_be_furniture(line: str) -> bool:
+    """Lines that begin in lower case are text."""
+    x = line.lstrip()
+    return bool(x) and not x[0].islower() or bool(_PAGE.fullmatch(line) and x)
+
+
+def line_kind(model: Perceptron, feats: list[str]) -> str:
+    """What the model takes a line for; a header's form and words alone may outweigh its place."""
+    s = model.scores(feats, LABELS)
+    if s["page_no"] > max(s["header"], s["body"]):
+        return "page_no"
+    if "own=True" in feats:
+        return "body"
+    whole, form = _margins(model, feats)
+    return "header" if whole > 0 or form > model.bar else "body"
 
 
 # ---- characters --------------------------------------------------------------------------------------
@@ -293,32 +317,44 @@ def train_editor(words: Counter) -> Perceptron:
     return model.finish()
 
 
-def readings(model: Perceptron, w: str, most: int = 24) -> list[tuple[str, float]]:
-    """Readings of a token with at most two edits beside its breaks, with their scores against keeping, best first."""
-    beam: list[tuple[float, int, int, str]] = [(0.0, 0, 0, "")]  # score, position, edits, text
-    done: dict[str, float] = {}
-    while beam:
-        nxt: dict[tuple[int, int, str], float] = {}
-        for s, i, k, t in beam:
-            if i >= len(w):
-                done[t] = max(done.get(t, -1e9), s)
-                continue
-            c = w[i]
-            ops = {o: r for o, r in OPS.get(c, {}).items() if c == BREAK or w.startswith(o.split(">")[0], i)}
-            if not ops:
-                key = (i + 1, k, t + c)
-                nxt[key] = max(nxt.get(key, -1e9), s)
-                continue
-            v = model.scores(char_features(w, i), ops if c == BREAK else ["keep", *ops])
-            zero = v.get("keep", max(v.values()))
-            for o, x in v.items():
-                put, n = (c, 1) if o == "keep" else ops[o]
-                e = k + (o != "keep" and c != BREAK)
-                if e <= 2:
-                    key = (i + n, e, t + put)
-                    nxt[key] = max(nxt.get(key, -1e9), s + x - zero)
-        beam = sorted(((s, i, k, t) for (i, k, t), s in nxt.items()), reverse=True)[: 6 * most]
-    return sorted(done.items(), key=lambda x: -x[1])[:most]
+def weigh(model: Perceptron, seen: str, true: str) -> float | None:
+    """The best score, against keeping every character, of edits that turn ``seen`` into ``true``, case aside; None if none do."""
+    low, n, m = seen.lower(), len(seen), len(true)
+    # best[i] = {j: score} of reading seen[:i] as true[:j]
+    best: list[dict[int, float]] = [{} for _ in range(n + 1)]
+    best[0][0] = 0.0
+    for i in range(n):
+        if not best[i]:
+            continue
+        c = seen[i]
+        ops = {o: r for o, r in OPS.get(c, {}).items() if c == BREAK or seen.startswith(o.split(">")[0], i)}
+        gain: dict[str, float] = {}
+        for j, s in best[i].items():
+            if c != BREAK and true.startswith(low[i], j) and s > best[i + 1].get(j + 1, -1e9):
+                best[i + 1][j + 1] = s
+            for o, (put, k) in ops.items():
+                if true.startswith(put.lower(), j):
+                    if not gain:
+                        v = model.scores(char_features(seen, i), ops if c == BREAK else ["keep", *ops])
+                        zero = v.get("keep", max(v.values()))
+                        gain = {x: y - zero for x, y in v.items()}
+                    t = s + gain[o]
+                    if t > best[i + k].get(j + len(put), -1e9):
+                        best[i + k][j + len(put)] = t
+    return best[n].get(m)
+
+
+#: Characters of one shape, by the letter that stands for them, and the strokes of those letters that have several.
+SHAPES = {"i": "l1!í|", "o": "a0á", "c": "e", "s": "5", "t": "†f", "g": "9q", "z": "2", "u": "vnhb68"}
+STROKES = (("u", "ii"), ("r", "i"), ("m", "iii"), ("w", "iiii"), ("d", "ci"))
+
+
+def strokes(c: Column) -> Column:
+    """The strokes of a word's characters, hyphens and case aside; equal for all that the known confusions turn into each other."""
+    x = F.translate(F.lower(c), "".join(SHAPES.values()) + BREAK + "-", "".join(k * len(v) for k, v in SHAPES.items()))
+    for k, v in STROKES:
+        x = F.replace(x, F.lit(k), F.lit(v))
+    return x
 
 
 def as_code(t: str) -> str:
@@ -351,17 +387,18 @@ def odd(t: str) -> bool:
     return False
 
 
+def odd_form(c: Column) -> Column:
+    """``odd`` of a column."""
+    core = F.regexp_replace(c, "[-‐–/.,'’&=]", "")
+    digits = F.length(F.regexp_replace(core, "[^0-9]", ""))
+    code = core.rlike("^[A-Za-z]{1,2}[0-9A-Za-z]{5,9}$") & (digits >= 4) & ~F.substring(core, 3, 100).rlike("^[0-9]+$")
+    number = core.rlike("^[lOIoSBb0-9]{2,6}$") & (digits > 0) & (digits < F.length(core))
+    return code | number | core.rlike(r"\p{L}[!†0-9]\p{L}|^[!†015]\p{L}{2}|\p{L}{3}[!†]$|[a-z]{3}[0159]$")
+
+
 def parse_block(model: Perceptron, lines: list[str], own: set[str] = frozenset()) -> dict:
     """Lines of a row to furniture, and body tokens; a broken word is one token with BREAK inside."""
-    feats = line_features(lines, own)
-    kinds = []
-    for x, f in zip(lines, feats):
-        if not f:
-            kinds.append("blank")
-        elif _PAGE.fullmatch(x):
-            kinds.append("page_no")
-        else:
-            kinds.append("header" if is_header(model, x, f) else "body")
+    kinds = [line_kind(model, f) if f else "body" if x.strip() else "blank" for x, f in zip(lines, line_features(lines, own, may_be_furniture))]
     tokens: list[str] = []
     tail, after_furniture = False, False
     for x, k in zip(lines, kinds):
@@ -424,27 +461,36 @@ class Repair:
         each = self.parsed.select("field_name", "row_key", F.explode("bare").alias("t"))
         count = each.groupBy(F.lower("t").alias("low")).agg(F.count("*").alias("n"))
         self.count = self.stages.cut(count)
-        forms = self.stages.cut(each.select("t").distinct().join(self.count.select("low", "n"), F.lower("t") == F.col("low")).filter(F.col("t").contains(BREAK) | (F.length("t") >= 3)).drop("low"))
+        forms = each.select("t").distinct().join(self.count.select("low", "n"), F.lower("t") == F.col("low")).filter(F.col("t").contains(BREAK) | (F.length("t") >= 3)).drop("low")
+        forms = forms.withColumn("odd", odd_form(F.col("t"))).filter(F.col("t").contains(BREAK) | F.col("odd") | F.col("t").rlike(r"\p{L}$|[^\x00-\x7f]"))
+        forms = self.stages.cut(forms.withColumn("key", strokes(F.col("t"))))
+        # words that may be what others were: those that occur often enough, and the most frequent one of their strokes
+        words = self.count.filter(F.col("low").rlike(r"^[\p{L}-]{2,}$")).select(F.col("low").alias("to"), F.col("n").alias("m"), strokes(F.col("low")).alias("key"))
+        words = words.join(words.groupBy("key").agg(F.max("m").alias("top")), "key").filter((F.col("m") >= LEAST) | (F.col("m") == F.col("top"))).drop("top")
+        dashes = lambda c: F.length(F.regexp_replace(c, "[^-]", ""))
+        more = dashes("to") - dashes("t")
+        broken = F.col("t").contains(BREAK)
+        alike = forms.join(words, "key").filter((F.col("to") != F.lower("t")) & F.when(broken, more.isin(0, 1)).otherwise(more == 0) & (broken | F.col("odd") | (F.col("m") >= RATIO * F.col("n"))))
+
+        def written(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                out = [(t, n, o, r.lower()) for t, n, o in zip(b["t"], b["n"], b["odd"]) for r in ([t.replace(BREAK, ""), t.replace(BREAK, "-")] if BREAK in t else []) + ([as_code(t.replace(BREAK, ""))] if o else [])]
+                yield pd.DataFrame(out, columns=["t", "n", "odd", "to"])
+
+        # the pieces of a broken word put together, and codes whose letters are read as digits, need no example
+        own = forms.filter(broken | F.col("odd")).select("t", "n", "odd").mapInPandas(written, "t string, n long, odd boolean, to string")
+        own = own.join(self.count.select(F.col("low").alias("to"), F.col("n").alias("m")), "to", "left").select("t", "n", "odd", "to", F.coalesce("m", F.lit(0)).alias("m"))
+        pairs = alike.select("t", "n", "odd", "to", "m").union(own.filter(F.col("to") != F.lower("t"))).distinct()
 
-        def propose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             _, em = shared.value
             for b in batches:
-                out: dict[str, list] = {"t": [], "n": [], "odd": [], "low": [], "score": [], "place": []}
-                for t, n in zip(b["t"], b["n"]):
-                    broken, bad = BREAK in t, odd(t)
-                    if not (broken or bad or t[-1:].isalpha() or any(not c.isascii() for c in t)):
-                        continue
-                    offers = readings(em, t)
-                    if bad and (r := as_code(t)) not in dict(offers):
-                        offers.append((r, offers[-1][1] if offers else 0.0))
-                    for k, (r, s) in enumerate(offers):
-                        if r != t:
-                            for c, v in zip(("t", "n", "odd", "low", "score", "place"), (t, n, bad, r.lower(), float(s), k)):
-                                out[c].append(v)
-                yield pd.DataFrame(out)
-
-        offers = forms.select("t", "n").repartition(tasks, "t").mapInPandas(propose, "t string, n long, odd boolean, low string, score double, place int")
-        offers = self.stages.cut(offers.join(self.count.withColumnRenamed("n", "m"), "low", "left").withColumn("m", F.coalesce("m", F.lit(0))))
+                v = [weigh(em, t, w) for t, w in zip(b["t"], b["to"])]
+                # codes may be read in ways that no edit says
+                v = [0.0 if x is None and o and w[-1:].isdigit() else x for x, o, w in zip(v, b["odd"], b["to"])]
+                yield b.assign(score=pd.array(v, "Float64")).dropna(subset=["score"])
+
+        offers = pairs.repartition(tasks, "t", "to").mapInPandas(judge, "t string, n long, odd boolean, to string, m long, score double").withColumnRenamed("to", "low")
         broken = F.col("t").contains(BREAK)
         word = F.col("low").rlike(r"^[\p{L}-]+$")
         code = F.col("low").rlike(r"^[a-z]{0,2}\d+$")

@@ -102,6 +102,27 @@ def test_scans(spark):
     assert "!" not in text["0"].text and "-\n" not in text["0"].text and text["0"].removed == 2
 
 
+def test_strokes(spark):
+    # every confusion keeps the strokes, so that any number of them does
+    pairs = [*scanfix.CONFUSIONS, *scanfix.DIGITS]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    assert [tuple(r) for r in df.filter(scanfix.strokes(F.col("a")) != scanfix.strokes(F.col("b"))).collect()] == []
+    model = scanfix.train_editor(scanfix.Counter({w: 9 for w in WORDS}))
+    seen = "Bas!di0rnataclcl"
+    assert scanfix.weigh(model, seen, "basidiomatadd") is not None and scanfix.weigh(model, seen, "basidiomatad") is None
+    assert scanfix.weigh(model, "spo\nres", "spores") is not None and scanfix.weigh(model, "spores", "spores") == 0.0
+    tokens = ["KC13622O", "l2O", "spo5es", "!nner", "plain", "word!", "120", "KC136220", "x1y", "†he", "a9", "abc9", "I", "", "O’0", "é1é", "1"]
+    got = {r.t: r.y for r in spark.createDataFrame([(t,) for t in tokens], "t string").select("t", scanfix.odd_form(F.col("t")).alias("y")).collect()}
+    assert got == {t: scanfix.odd(t) for t in tokens}
+
+
+def test_many_errors_in_a_word(spark):
+    text = " ".join(["The dimensions of basidiomata vary."] * 12) + " Some ba5!d!0ma†a were seen."
+    sections = spark.createDataFrame([(1, text), *[(k, "The dimensions of basidiomata vary.") for k in range(2, 12)]], "section_id long, text string")
+    lines = spark.createDataFrame([], "row_id long, raw_row_lines array<string>, species string, voucher string, country string, accession string")
+    assert ("char", "basidiomata") in {(r.kind, r.item) for r in scanfix.Repair(scanfix.scanned_rows(sections, lines)).found().collect()}
+
+
 def test_scans_empty(spark):
     sections = spark.createDataFrame([], "section_id long, text string")
     lines = spark.createDataFrame([], "row_id long, raw_row_lines array<string>, species string, voucher string, country string, accession string")
