@@ -459,9 +459,10 @@ class Repair:
         tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.parsed = self.stages.cut(rows.repartition(tasks, "field_name", "row_key").distinct().mapInPandas(parse, "field_name string, row_key string, furniture array<struct<kind: string, item: string>>, tokens array<string>, bare array<string>"))
         each = self.parsed.select("field_name", "row_key", F.explode("bare").alias("t"))
-        count = each.groupBy(F.lower("t").alias("low")).agg(F.count("*").alias("n"))
-        self.count = self.stages.cut(count)
-        forms = each.select("t").distinct().join(self.count.select("low", "n"), F.lower("t") == F.col("low")).filter(F.col("t").contains(BREAK) | (F.length("t") >= 3)).drop("low")
+        # forms first: there are far fewer of them to fold
+        by_form = self.stages.cut(each.groupBy("t").agg(F.count("*").alias("n")))
+        self.count = self.stages.cut(by_form.groupBy(F.lower("t").alias("low")).agg(F.sum("n").alias("n")))
+        forms = by_form.select("t").join(self.count.select("low", "n"), F.lower("t") == F.col("low")).filter(F.col("t").contains(BREAK) | (F.length("t") >= 3)).drop("low")
         forms = forms.withColumn("odd", odd_form(F.col("t"))).filter(F.col("t").contains(BREAK) | F.col("odd") | F.col("t").rlike(r"\p{L}$|[^\x00-\x7f]"))
         forms = self.stages.cut(forms.withColumn("key", strokes(F.col("t"))))
         # words that may be what others were: those that occur often enough, and the most frequent one of their strokes
