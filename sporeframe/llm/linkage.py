@@ -9,7 +9,8 @@ Retrieval is BM25 with term frequencies and length norm, and exact: the best sco
 bounded from below by entries with the very same code; terms are then taken by falling upper bound until
 what remains can't lift an entry to ``floor`` of the query's own score or to ``near`` of that bound. Only
 these essential terms probe the index (species and countries, which many rows share, never do beside a
-code); all candidates get their full score, and the nearest ones, the runner-up and everything down to
+code); candidates that their found part and the bound of the rest leave a chance get their full score, and
+the nearest ones, the runner-up and everything down to
 ``near`` of the nearest are exact. There is no number of candidates that is cut.
 
 A pair of codes counts if each is the other's nearest, ties included; ``near`` lets a misspelt code stand
@@ -107,17 +108,18 @@ def retrieve(left: DataFrame, right: DataFrame, stages: Stages, floor: float = F
     asked = asked.withColumn("ub", F.col("q") * F.coalesce("most", rarity(F.lit(0.0))))
     asked = stages.cut(asked.select("lc", "t", "q", "ub", F.col("most").isNotNull().alias("known"), F.sum("ub").over(W.partitionBy("lc")).alias("self")))
 
-    def full(pairs: DataFrame) -> DataFrame:
-        terms = pairs.join(asked.filter("known").select("lc", "t", "q", "self"), "lc").join(post, ["rc", "t"])
-        return terms.groupBy("lc", "rc", "self").agg(F.round(F.sum(F.col("q") * F.col("w")), 6).alias("score"))
-
-    same = asked.select("lc").distinct().join(size.select(F.col("code").alias("rc")), F.col("lc") == F.col("rc"))
-    least = full(same).select("lc", (F.col("score") * near).alias("least"))
+    known = asked.filter("known")
+    score = F.round(F.sum(F.col("q") * F.col("w")), 6)
+    same = known.join(post.select(F.col("rc").alias("lc"), "t", "w"), ["lc", "t"])
+    least = same.groupBy("lc").agg((score * near).alias("least"))
     ranked = asked.join(least, "lc", "left").withColumn("least", F.greatest(F.col("self") * floor, F.coalesce("least", F.lit(0.0))))
     after = F.col("self") - F.sum("ub").over(W.partitionBy("lc").orderBy(F.desc("ub"), "t").rowsBetween(W.unboundedPreceding, -1))
-    probes = ranked.withColumn("after", F.coalesce(after, F.col("self"))).filter("known and after >= least - 1e-6").select("lc", "t", "least")
-    pairs = probes.join(post, "t").select("lc", "rc", "least").distinct()
-    return full(pairs.select("lc", "rc")).join(probes.select("lc", "least").distinct(), "lc").filter("score >= least - 1e-6").select("lc", "rc", "score", F.col("self").alias("lself"))
+    probes = ranked.withColumn("after", F.coalesce(after, F.col("self"))).filter("after >= least - 1e-6")
+    probes = probes.withColumn("rest", F.min(F.col("after") - F.col("ub")).over(W.partitionBy("lc"))).filter("known").select("lc", "t", "q", "least", "rest")
+    # what the probes found and the most that the other terms could add
+    pairs = probes.join(post, "t").groupBy("lc", "rc", "least", "rest").agg(F.sum(F.col("q") * F.col("w")).alias("part")).filter("part + rest >= least - 1e-6")
+    terms = pairs.select("lc", "rc", "least").join(known.select("lc", "t", "q", "self"), "lc").join(post, ["rc", "t"])
+    return terms.groupBy("lc", "rc", "self", "least").agg(score.alias("score")).filter("score >= least - 1e-6").select("lc", "rc", "score", F.col("self").alias("lself"))
 
 
 def _fit(pairs: DataFrame, steps: int = 12, ridge: float = 1.0) -> list[float]:
