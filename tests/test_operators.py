@@ -112,3 +112,32 @@ def test_docrows_forward_fill_and_headers():
     assert got[2]["species"] is None and got[2]["voucher"] == "Dai 3"
     assert docrows.rows_of(["Inonotus rheades", "TW 385", "Germany", "AF311019"], KNOWN)[0]["confidence"] == "low"
     assert docrows.rows_of([], KNOWN) == [] and docrows.rows_of([None, ""], KNOWN) == []
+
+
+def test_docrows_lines_are_joined():
+    known = KNOWN | {"french guiana", "united states of america", "papua new guinea", "guinea"}
+    cells = docrows.joined_lines(["Fomitiporia", "aethiopica", "MUCL", "51451", "French", "Guiana", "United", "States", "of", "America", "Papua", "New", "Guinea", "ITS", "28S", "Brazil", "cf. x", "KC136220"], known)
+    assert cells == ["Fomitiporia aethiopica", "MUCL 51451", "French Guiana", "United States of America", "Papua New Guinea", "ITS", "28S", "Brazil", "cf. x", "KC136220"]
+    assert docrows.joined_lines([], known) == []
+
+
+def test_docrows_every_cell_is_kept():
+    want = ["species", "voucher", "country"]
+    assert docrows.align(["A bus", "K 1", "Peru"], want, KNOWN) == (dict(zip(want, ["A bus", "K 1", "Peru"])), "perfect", [])
+    got, how, rest = docrows.align(["A page line of prose", "another", "Phylloporia crataegi", "Dai 1", "China"], want, KNOWN)
+    assert (how, got, rest) == ("typed", {"species": "Phylloporia crataegi", "voucher": "Dai 1", "country": "China"}, ["A page line of prose", "another"])
+    assert docrows.align(["Dai 1"], want, KNOWN) == ({"voucher": "Dai 1"}, "typed", [])
+    rows = docrows.rows_of([*HEAD, "prose one", "prose two", "Phylloporia crataegi", "Dai 1", "China", "MH165865", "MH165866", "MH165867"], KNOWN)
+    assert rows[0]["unplaced"] == ["prose one", "prose two"] and sorted(rows[0]["genes"].values()) == ["MH165865", "MH165866", "MH165867"]
+
+
+def test_docrows_species_and_specimen_columns():
+    assert docrows.settled(["specimen", "voucher", "country"]) == ["species", "voucher", "country"]
+    assert docrows.settled(["species", "specimen", "voucher"]) == ["species", "voucher"]
+    assert docrows.settled(["species", "specimen"]) == ["species", "voucher"]
+    lines = [*HEAD, "Phylloporia crataegi", "Dai 0", "China", "MH165800", "-"]
+    for k in range(1, 140):
+        lines += [f"Dai {k}", "China", f"MH1658{k:02d}" if k < 100 else f"MH165{k:03d}", "-"]
+    rows = docrows.rows_of(lines, KNOWN)
+    filled = [r["forward_filled"] for r in rows[1:]]
+    assert all(filled[: docrows.BACK // 4 - 1]) and not any(filled[docrows.BACK // 4 + 2 :])
