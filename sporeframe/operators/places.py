@@ -1,6 +1,6 @@
 """Countries of cells, localities and specimens, by joins of distinct values with the country list.
 
-The list ``(country, spelling, ord)`` is a fixed dimension. Spellings of two or three letters are codes
+The list ``(country, spelling, ord)`` is a fixed dimension; ``ord`` may be left out. Spellings of two or three letters are codes
 and only count in upper case; of equal spellings the last by ``ord`` counts. All functions map the distinct
 values of a column, so that a value of a third of all rows is resolved once; callers join the result.
 """
@@ -20,6 +20,8 @@ from ..functions.text import ascii_fold, ngrams
 
 def _keys(variants: DataFrame) -> DataFrame:
     """``(kind, key, country)``: names and spellings in lower case, codes in upper case; each key once."""
+    if "ord" not in variants.columns:
+        variants = variants.withColumn("ord", F.lit(0))
     short = F.col("spelling").rlike("^[A-Za-z]{2,3}$")
     names = variants.select(F.lit("name").alias("kind"), F.lower("country").alias("key"), "country", F.lit(0).alias("ord"))
     words = variants.filter(~short).select(F.lit("alias").alias("kind"), F.lower("spelling").alias("key"), "country", "ord")
