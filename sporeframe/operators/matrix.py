@@ -15,8 +15,17 @@ PHRASES = (
     ("SSU", "small subunit ribosomal"), ("SSU", "ssu region"), ("SSU", "18s ribosomal"), ("TEF1", "translation elongation factor 1"), ("TEF1", "tef1 region"), ("RPB1", "rna polymerase ii largest subunit"),
     ("RPB1", "rpb1 region"), ("RPB2", "rna polymerase ii second largest subunit"), ("RPB2", "rpb2 region"), ("BTUB", "beta-tubulin"), ("BTUB", "beta tubulin"), ("ACT", "actin gene"),
 )
-#: Patterns tried in this order where no phrase occurs.
-FALLBACK = (("ITS", r"\bits[12]?\b"), ("LSU", r"\b(lsu|28s|nlsu)\b"), ("SSU", r"\b(ssu|18s|nssu)\b"), ("TEF1", r"\b(tef1?|ef1)\b"), ("RPB2", r"\brpb2\b"), ("RPB1", r"\brpb1\b"))
+#: Patterns tried in this order where no phrase occurs, each with one that must not occur (other factors, alike names).
+FALLBACK = (
+    ("ITS", r"\bits[12]?\b", None), ("LSU", r"\b(lsu|28s|nlsu)\b", None), ("SSU", r"\b(ssu|18s|nssu)\b", None),
+    ("TEF1", r"\b(tef1?|ef1)\b|(elongation\s+factor|\bef)[-\s]*(1[-\s]?alpha|alpha[-\s]?1|1)\b", r"(factor|\bef)[-\s]*(g|tu|2|3|1[-\s]?(gamma|beta|delta))\b|\bspt[456]\b"),
+    ("RPB2", r"\brpb2\b|rna\s+polymerase\s+(ii|2|b)\s+(second\s+(largest\s+)?)?subunit", None),
+    ("RPB1", r"\brpb1\b|rna\s+polymerase\s+(ii|2)\s+largest\s+subunit", r"largest\s+subunit\s*2"),
+    ("BTUB", r"beta[-\s]?tubulin|\btub2?\b.*(gene|partial|cds)", r"beta[-\s]?tubulin[-\s]*(like|domain)"),
+    ("ATP6", r"\batp6\b|atp(ase)?\s+synthase\s+(subunit\s+)?6", None),
+)
+#: Every marker that the dictionary knows, in its order.
+MARKERS = tuple(dict.fromkeys([m for m, _ in PHRASES] + [m for m, *_ in FALLBACK]))
 
 
 def marker_of(description: Column, phrases: Sequence[tuple[str, str]] = PHRASES) -> Column:
@@ -28,8 +37,8 @@ def marker_of(description: Column, phrases: Sequence[tuple[str, str]] = PHRASES)
     out = None
     for m, p in sorted(phrases, key=lambda x: -len(x[1])):
         out = F.when(low.contains(p), m) if out is None else out.when(low.contains(p), m)
-    for m, p in FALLBACK:
-        out = out.when(low.rlike(p), m)
+    for m, p, no in FALLBACK:
+        out = out.when(low.rlike(p) & ~low.rlike(no) if no else low.rlike(p), m)
     return out
 
 

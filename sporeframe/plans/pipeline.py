@@ -11,7 +11,7 @@ from ..functions.missing import absent
 from ..operators import cluster, frames, matrix, prose
 from ..sources.flatfile import read_flatfiles
 
-MARKERS = ("ITS", "LSU", "SSU", "TEF1", "RPB1", "RPB2")
+MARKERS = matrix.MARKERS
 #: Qualifiers in the order in which they name a specimen.
 PREFERRED = ("specimen_voucher", "strain", "isolate", "culture_collection", "bio_material")
 

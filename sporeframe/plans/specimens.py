@@ -10,7 +10,7 @@ from ..functions.missing import absent, missing, sql_absent
 from ..operators import cluster, frames, matrix
 from ..session import table
 
-MARKERS = ("ITS", "LSU", "SSU", "TEF1", "RPB1", "RPB2")
+MARKERS = matrix.MARKERS
 _MISS = lambda c, *t: f"(coalesce(lower(trim({c})), '') in ({', '.join(repr(x) for x in ('', 'nan', *t))}))"
 _INCOMPLETE = lambda c: f"(coalesce(trim({c}) = '' or regexp_matches(trim({c}), '(?i)^\\S+\\s+sp\\.?(\\s|$)') or regexp_matches(trim({c}), '(?i)^\\S*(aceae|ales|mycetes|mycota)$') or not regexp_matches(trim({c}), '\\s'), true))"
 
@@ -90,7 +90,7 @@ def marker_longest_phrase(spark, sf):
 
 def _marker_sql(c: str = "description") -> str:
     lines = [f"when contains(lower({c}), '{p}') then '{m}'" for m, p in sorted(matrix.PHRASES, key=lambda x: -len(x[1]))]
-    lines += [f"when regexp_matches(lower({c}), '{p}') then '{m}'" for m, p in matrix.FALLBACK]
+    lines += [f"when regexp_matches(lower({c}), '{p}')" + (f" and not regexp_matches(lower({c}), '{no}')" if no else "") + f" then '{m}'" for m, p, no in matrix.FALLBACK]
     return "case " + " ".join(lines) + " end"
 
 

@@ -141,3 +141,9 @@ def test_docrows_species_and_specimen_columns():
     rows = docrows.rows_of(lines, KNOWN)
     filled = [r["forward_filled"] for r in rows[1:]]
     assert all(filled[: docrows.BACK // 4 - 1]) and not any(filled[docrows.BACK // 4 + 2 :])
+
+
+def test_markers(spark):
+    names = {"Aus bus beta-tubulin (tub2) gene": "BTUB", "tub2 gene, partial": "BTUB", "betatubulin-like protein": None, "betatubulin": "BTUB", "elongation factor 1-alpha": "TEF1", "EF-1 alpha": "TEF1", "elongation factor G": None, "elongation factor 1-beta": None, "RNA polymerase II subunit": "RPB2", "RNA polymerase II second largest subunit": "RPB2", "RNA polymerase II largest subunit": "RPB1", "ATP synthase subunit 6": "ATP6", "actin gene": "ACT", "ITS region of 28S": "ITS", None: None}
+    df = spark.createDataFrame([(n,) for n in names], "d string")
+    assert {r.d: r.m for r in df.select("d", matrix.marker_of(F.col("d")).alias("m")).collect()} == names
