@@ -110,7 +110,7 @@ def chunks(df: DataFrame, order: str, value: str, size: int, block_rows: int = 1
     totals = rows.groupBy("_b").agg(F.count("*").alias("_n"))
     before = totals.select("_b", (F.sum("_n").over(W.orderBy("_b")) - F.col("_n")).alias("_off"))
     at = F.row_number().over(W.partitionBy("_b").orderBy(order)) - 1 + F.col("_off")
-    return rows.join(F.broadcast(before), "_b").withColumn("chunk", F.floor(at / size)).groupBy("chunk").agg(F.count("*").alias("n"), F.min_by(value, order).alias("first"), F.max_by(value, order).alias("last"))
+    return rows.join(before, "_b").withColumn("chunk", F.floor(at / size)).groupBy("chunk").agg(F.count("*").alias("n"), F.min_by(value, order).alias("first"), F.max_by(value, order).alias("last"))
 
 
 def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:

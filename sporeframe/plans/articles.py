@@ -179,7 +179,7 @@ def locality_trim(spark, sf):
 def country_cascade(spark, sf):
     """Registry localities: the place cache overrides the spelling of the whole text, of the leftmost bigram, of the leftmost word."""
     v = F.broadcast(table(spark, sf, "country_variant").groupBy(F.col("spelling").alias("k")).agg(F.max_by("country", "ord").alias("c")))
-    cache = F.broadcast(table(spark, sf, "locality_cache").filter("size(countries) = 1").select(F.col("locality_norm").alias("k"), F.get("countries", F.lit(0)).alias("c")))
+    cache = table(spark, sf, "locality_cache").filter("size(countries) = 1").select(F.col("locality_norm").alias("k"), F.get("countries", F.lit(0)).alias("c"))
     t = table(spark, sf, "type_registry").select("record_id", "locality_raw").distinct().filter(~absent("locality_raw")).withColumn("x", F.lower(F.trim("locality_raw")))
     words = F.filter(F.split(F.regexp_replace("x", "[^a-z]+", " "), " "), lambda w: w != "")
     grams = F.concat(
