@@ -14,10 +14,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.missing import absent
+from .prose import carry
 
 
 def _complete(df: DataFrame, key: str, determinant: str, target: str) -> DataFrame:
@@ -101,3 +102,41 @@ def fill(df: DataFrame, key: str, targets: Sequence[str], determinants: Sequence
         got = need.withColumn("_p", F.coalesce(*picks)).filter("_p is not null").select(key, F.lit(t).alias("field_name"), "_p.*")
         out = got if out is None else out.unionByName(got)
     return out
+
+
+def fill_mined(df: DataFrame, key: str, targets: Sequence[str], candidates: Sequence[str], group: str, share: float = 0.5, least: int = 2) -> DataFrame:
+    """``fill`` by those of the candidate determinants that mining proves: at least ``share`` of their values have one target value.
+
+    What is mined is a row for each candidate and target, whatever the size of the data; proven determinants
+    fill in the order given, where at least ``least`` complete records agree, then the group's most frequent value.
+    """
+    mined = {(r["determinant"], r["target"]): r for r in dependencies(df, key, candidates, targets).collect()}
+    out = None
+    for t in targets:
+        proven = [d for d in candidates if d != t and (r := mined[(d, t)])["determinant_values"] and r["verified_values"] >= share * r["determinant_values"]]
+        got = fill(df, key, [t], proven, group, least)
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
+def fill_nearest(df: DataFrame, key: str, target: str, group: str, at: str, value: Column | None = None) -> DataFrame:
+    """``(key, field_name, item, filled_by)``: absent values, numbers too, from the nearest record of the group in time.
+
+    The last present value at or before the record's time counts, else the first after it (``before:<group>``,
+    ``after:<group>``); equal times go by the key. Records without group, key or time fill nothing and stay
+    unfilled. ``value`` says what is present (null if absent), for strings all but fillers. Values are carried
+    day by day, so that a group of a third of all rows is many bounded tasks.
+    """
+    kinds = dict(df.dtypes)
+    present = value if value is not None else F.when(~absent(df[target]), df[target]) if kinds[target] == "string" else df[target]
+    own = F.when(~absent(df[group]), df[group]) if kinds[group] == "string" else df[group]
+    rows = df.select(df[key].alias("_key"), own.alias("_group"), df[at].alias("_at"), present.alias("_value")).dropna(subset=["_key", "_group", "_at"]).distinct()
+    timed = kinds[at].startswith("timestamp")
+    stamp = F.unix_micros(F.col("_at").cast("timestamp")) if timed else F.col("_at")
+    day = F.floor(stamp / (86_400_000_000 if timed else 65_536))
+    x = rows.withColumns({"_up": F.struct(stamp.alias("a"), F.col("_key").alias("k")), "_down": F.struct((-stamp).alias("a"), (-F.col("_key")).alias("k")), "_day": day})
+    x = carry(x, ["_group"], "_up", F.col("_value"), "_before", F.col("_day"))
+    x = carry(x, ["_group"], "_down", F.col("_value"), "_after", -F.col("_day"))
+    how = F.when(F.col("_before").isNotNull(), f"before:{group}").otherwise(f"after:{group}")
+    got = x.filter(F.col("_value").isNull()).withColumn("item", F.coalesce("_before", "_after")).filter("item is not null")
+    return got.select(F.col("_key").alias(key), F.lit(target).alias("field_name"), "item", how.alias("filled_by"))

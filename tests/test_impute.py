@@ -45,3 +45,19 @@ def test_empty_and_report(spark):
     assert impute.fill(empty, "k", ["v"], ["d"], "d").count() == 0
     r = impute.dependencies(spark.createDataFrame([(1, "a", "x"), (2, "a", "x"), (3, "b", "x"), (4, "b", "y"), (4, "b", "y")], "k long, d string, v string"), "k", ["d"], ["v"]).first()
     assert (r.determinant_values, r.complete_keys, r.supporting_keys, r.verified_values) == (2, 4, 3, 1)
+
+
+def test_nearest_in_time(spark):
+    rows = [(1, "a", None, 10), (2, "a", 5, 20), (3, "a", None, 30), (4, "a", 7, 40), (4, "a", 7, 40), (5, "b", None, 1), (6, None, None, 5), (7, "a", None, None), (8, "a", None, 20 + 200_000), (9, "n/a", None, 3)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "k long, g string, v int, at long, item string")
+    got = {r.k: (r.item, r.filled_by) for r in impute.fill_nearest(df, "k", "v", "g", "at").collect()}
+    assert got == {1: (5, "after:g"), 3: (5, "before:g"), 8: (7, "before:g")}
+    assert impute.fill_nearest(df.limit(0), "k", "v", "g", "at").count() == 0
+
+
+def test_mined_determinants(spark):
+    # the code decides the place, the colour doesn't; a code seen once proves nothing
+    rows = [(i, f"c{i // 3}", "red" if i % 2 else "blue", f"p{i // 3}" if i % 3 else None, "s") for i in range(30)] + [(100, "c99", "red", "rare", "s"), (101, "c99", "red", None, "s"), (102, None, "red", None, "t")]
+    df = spark.createDataFrame(rows, "k long, code string, colour string, place string, kind string")
+    got = {r.k: (r.item, r.filled_by) for r in impute.fill_mined(df, "k", ["place"], ["colour", "code"], "kind").collect()}
+    assert all(got[i] == (f"p{i // 3}", "dependency:code") for i in range(0, 30, 3)) and got[101][1] == "group:kind" and 102 not in got
