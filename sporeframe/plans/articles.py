@@ -366,10 +366,15 @@ _TYP = f"""(select record_id, t, list_transform(regexp_extract_all(t, '(?i)\\b{_
   from (select distinct record_id, trim(regexp_replace(regexp_replace(typification, '^Typification:\\s*', ''), '(?i)\\(designated by[^)]*\\)?', '', 'g')) as t from type_registry where typification is not null))"""
 _MAT = "array_to_string(list_filter(list_transform(string_split({}, ','), lambda x: trim(x)), lambda x: x <> ''), '|')"
 
+_CELLS = f"""(select distinct row_id, source_doi, species, voucher, country, accession from (select row_id, source_doi, species, voucher, country, upper(regexp_replace(regexp_replace(unnest([{', '.join(_GB)}]), '\\s+', '', 'g'), '\\.\\d+$', '')) as accession from gb_table_row) where regexp_matches(accession, '[0-9]'))"""
+# elements hold accessions between delimiters, blanks, quotes or the word "and"
+_LISTED = f"""(select doi, {_VERSIONLESS('x')} as accession from (select doi, unnest(regexp_split_to_array(e, '[\\s|;,/&"]+')) as x from (select doi, unnest(gb_accessions) as e from article where doi is not null)) where x not in ('', 'and'))"""
+
 SQL = {
-    "article_rollup": f"select source_doi, {_SET('species', 'species')}, {_SET('voucher', 'vouchers')}, {_SET('country', 'countries')}, count(distinct {_VERSIONLESS('gb_its')}) as accessions, count(*) as rows from (select distinct row_id, source_doi, species, voucher, country, gb_its from gb_table_row) group by 1",
-    "article_lookup": f"select accession, m.* from (select {_VERSIONLESS('gb_its')} as accession, arg_min({{'source_doi': source_doi, 'species': species, 'voucher': voucher, 'country': country}}, (source_doi, row_id)) as m from gb_table_row where gb_its is not null and source_doi is not null group by 1)",
-    "article_of_accession": f"select accession, min(doi) as doi from (select doi, unnest(gb_accessions) as x from article) a join (select distinct {_VERSIONLESS('gbn')} as accession from seq_record where gbn is not null) s on s.accession = {_VERSIONLESS('x')} and regexp_matches(x, '^[A-Z]{{1,2}}[0-9]{{5,8}}([.][0-9]+)?$') group by 1",
+    "article_rollup": f"""with t as (select distinct row_id, source_doi, species, voucher, country, {', '.join(_GB)} from gb_table_row)
+      select t.source_doi, {_SET('species', 'species')}, {_SET('voucher', 'vouchers')}, {_SET('country', 'countries')}, coalesce(any_value(n), 0) as accessions, count(*) as rows from t left join (select source_doi as d, count(distinct accession) as n from {_CELLS} group by 1) on d is not distinct from source_doi group by 1""",
+    "article_lookup": f"select accession, m.* from (select accession, arg_min({{'source_doi': source_doi, 'species': species, 'voucher': voucher, 'country': country}}, (source_doi, row_id)) as m from {_CELLS} where source_doi is not null group by 1)",
+    "article_of_accession": f"select accession, min(doi) as doi from {_LISTED} join (select distinct {_VERSIONLESS('gbn')} as accession from seq_record where gbn is not null) using (accession) group by 1",
     "article_stats": "select count(*) as articles, count_if(has_gb_table) as with_table, count_if(has_supplementary) as with_supplement, count_if(pdf_downloaded) as downloaded, sum(coalesce(len(gb_accessions), 0))::bigint as total_codes from article",
     "doi_names": "select doi, md5(doi) as doi_hash, regexp_replace(doi, '[^A-Za-z0-9._-]+', '_', 'g') || '.pdf' as pdf, case when starts_with(doi, '10.99872') then 'mycox' when starts_with(doi, '10.99871') then 'verandian' when starts_with(doi, '10.99873') then 'polypore' when starts_with(doi, '10.99874') then 'sheets' end as publisher from article",
     "species_union": f"select doi, coalesce(string_agg(s, '|' order by s), '') as species, count(s)::int as n from (select distinct doi, s from (select doi, unnest(species_mentioned) as s from article union all select doi, species from article join gb_table_row on doi = source_doi where not {sql_absent('species')} union all select doi, null from article)) group by 1",
@@ -405,12 +410,13 @@ SQL = {
     "pairs_confidence": f"{_CONF} select * from p",
     "confidence_summary": f"{_CONF} select 'pairs' as metric, count(*) as value from p union all select 'codes', count(distinct code) from p union all select 'docs', count(distinct doc) from p union all select 'confidence_' || confidence, count(*) from p group by 1",
     "gold_summary": f"with {_PAIRS}, g as (select doc, code, min(country) as g from b group by all having count(distinct country) = 1) select case when g is null then 'not_in_gold' when g = country then 'match' else 'mismatch' end as status, count(*) as n from a left join g using (doc, code) group by 1",
-    "chunks_contained": """with s as (select distinct row_id as supp, voucher as v, regexp_extract(voucher, '(\\d+)\\D*$', 1) as num from supp_record), d as (select distinct row_id as doc, voucher as w, regexp_extract(voucher, '(\\d+)\\D*$', 1) as num from doc_row)
-      select supp, doc from s join d using (num) where num <> '' and len(regexp_extract_all(v, '[A-Za-z]+')) > 0 and len(list_filter(list_concat(regexp_extract_all(v, '[A-Za-z]+'), regexp_extract_all(v, '[0-9]+')), lambda x: not contains(lower(w), lower(x)))) = 0""",
+    "chunks_contained": """with s as (select distinct voucher as v, list_concat(regexp_extract_all(lower(voucher), '[a-z]+'), regexp_extract_all(voucher, '[0-9]+')) as runs from supp_record where regexp_matches(voucher, '[A-Za-z]') and regexp_matches(voucher, '[0-9]')), d as (select distinct voucher as w, lower(voucher) as low from doc_row where voucher is not null),
+      p as (select v, w from s join d on contains(low, runs[-1]) where len(list_filter(runs, lambda x: not contains(low, x))) = 0)
+      select supp, doc from p join (select distinct row_id as supp, voucher as v from supp_record) using (v) join (select distinct row_id as doc, voucher as w from doc_row) using (w)""",
     "doi_cascade": f"""with s as (select distinct seq_no, {_VERSIONLESS('gbn')} as acc, title from seq_record where gbn is not null),
       t as (select seq_no, min(d) as d from (select seq_no, lower(trim(unnest(string_split(title, '|')))) as x from s) join (select lower(trim(title)) as x, min(doi) as d from article group by 1) using (x) where x <> '' and x <> 'direct submission' group by 1),
-      l as (select seq_no, min(d) as d from s join (select {_VERSIONLESS('x')} as acc, min(doi) as d from (select doi, unnest(gb_accessions) as x from article) group by 1) using (acc) group by 1),
-      r as (select seq_no, min(d) as d from s join (select {_VERSIONLESS('gb_its')} as acc, min(source_doi) as d from gb_table_row where gb_its is not null group by 1) using (acc) group by 1)
+      l as (select seq_no, min(d) as d from s join (select accession as acc, min(doi) as d from {_LISTED} group by 1) using (acc) group by 1),
+      r as (select seq_no, min(d) as d from s join (select accession as acc, min(source_doi) as d from {_CELLS} where source_doi is not null group by 1) using (acc) group by 1)
       select seq_no, coalesce(t.d, l.d, r.d) as value, case when t.d is not null then 'title' when l.d is not null then 'list' else 'table' end as method from (select distinct seq_no from s) left join t using (seq_no) left join l using (seq_no) left join r using (seq_no) where coalesce(t.d, l.d, r.d) is not null""",
     "supplement_lookup": f"select lower(e.key) as marker, upper(trim(e.value)) as code, min(row_id) as first, count(*) as rows from (select distinct row_id, e from (select row_id, unnest(map_entries(gb_codes)) as e from supp_record)) where not {sql_absent('e.value')} group by 1, 2",
     "hits_by_genus": f"""with t as (select * from (select distinct seq_no, gbn, species, bp, split_part(trim(species), ' ', 1) as genus from seq_record where not {sql_absent('species')}) where length(genus) >= 3 and not ends_with(genus, '.')),

@@ -224,7 +224,8 @@ SQL = {
     "line_accessions": f"""select row_id, line_no, t as accession from (select row_id, line_no, unnest(list_filter(list_transform(regexp_split_to_array(line, '\\s+'), lambda x: upper(regexp_replace(regexp_replace(regexp_replace(x, '^[\\[("'']+|[\\])"'',;:.]+$', '', 'g'), '(\\d)[*†‡§a-z]+$', '\\1'), '\\.\\d+$', ''))), lambda x: regexp_matches(x, '^[A-Z]{{1,2}}\\d{{5,8}}$'))) as t from {_LINES} where line is not null)""",
     "series_expand": """select doc_id, (row_number() over (partition by doc_id order by o, p) - 1)::int as pos, code from (select doc_id, o, generate_subscripts(l, 1) as p, name || ' ' || unnest(l) as code from (
       select doc_id, o, regexp_extract(h, '^([A-Z][a-z]+)', 1) as name, regexp_extract_all(h, '[0-9]+') as l from (select doc_id, unnest(a) as h, generate_subscripts(a, 1) as o from (select doc_id, regexp_extract_all(text, '[A-Z][a-z]+ [0-9]+(?:, [0-9]+)*') as a from documents where text is not null))))""",
-    "context_window": f"""select section_id, i::int as at, array_to_string(w[greatest(1, i - 3):i + 3], ' ') as context from (select section_id, w, unnest(range(1, len(w) + 1)) as i from (select section_id, list_filter(regexp_split_to_array(text, '[ \\t\\n\\r\\f]+'), lambda x: x <> '') as w from {_SEC})) where regexp_matches(w[i], '^[A-Z]{{4}}$')""",
+    "context_window": f"""select section_id, i::int as at, array_to_string(w[greatest(1, i - 35):i + width + 34], ' ') as context from (select *, case when regexp_matches(concat_ws(' ', w[i], w[i + 1]), '^\\S*\\b(?:[A-Z][a-z]{{3,}}|[A-Z]{{3,6}}) [0-9]{{2,6}}\\b') then 2 when regexp_matches(w[i], '\\b(?:[A-Z][a-z]{{3,}}|[A-Z]{{3,6}}) ?[0-9]{{2,6}}\\b|\\b[A-Z]{{4}}\\b') then 1 end as width
+      from (select section_id, w, unnest(range(1, len(w) + 1)) as i from (select section_id, list_filter(regexp_split_to_array(text, '[ \\t\\n\\r\\f]+'), lambda x: x <> '') as w from {_SEC}))) where width is not null""",
     "ngram_counts": f"select g as gram, count(*) as sections from ({_GRAM(2)}) group by 1 having count(*) >= 20",
     "country_candidates": f"select * from {_CAND}",
     "section_pairs": f"select * from {_PAIRS}",
