@@ -122,9 +122,14 @@ def mentions(df: DataFrame, keys: Sequence[str], text: str, variants: DataFrame)
     """``(keys, country)``, each once: countries that a text names in one to four words, accents and punctuation aside, or by an upper-case code."""
     letters = lambda c: F.trim(F.regexp_replace(ascii_fold(c), "[^a-z]+", " "))
     words = F.filter(F.split(letters(F.col(text)), " "), lambda w: w != "")
-    grams = df.select(*keys, words.alias("w")).select(*keys, F.explode(F.array_distinct(F.concat(*[ngrams(F.col("w"), n) for n in (1, 2, 3, 4)]))).alias("key"))
+    # each word with the three after it; names meet their first word
+    w = df.select(*keys, words.alias("w"))
+    heads = F.transform("w", lambda x, i: F.struct(x.alias("first"), F.concat(F.array_join(F.slice("w", i + 1, F.lit(4)), " "), F.lit(" ")).alias("run")))
+    runs = w.select(*keys, F.explode(heads).alias("h")).select(*keys, "h.*")
     codes = df.select(*keys, F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(r"\b[A-Z]{2,3}\b"), 0))).alias("key"))
     dim = _keys(variants)
-    named = grams.join(dim.filter("kind <> 'code'").select(letters(F.col("key")).alias("key"), "country").filter("key <> ''").distinct(), "key")
+    names = dim.filter("kind <> 'code'").select(letters(F.col("key")).alias("key"), "country").filter((F.col("key") != "") & (F.size(F.split("key", " ")) <= 4)).distinct()
+    names = names.select(F.substring_index("key", " ", 1).alias("first"), F.concat("key", F.lit(" ")).alias("name"), "country")
+    named = runs.join(names, (runs["first"] == names["first"]) & F.startswith(runs["run"], names["name"]))
     coded = codes.join(dim.filter("kind = 'code'").select("key", "country"), "key")
     return named.select(*keys, "country").union(coded.select(*keys, "country")).distinct()
