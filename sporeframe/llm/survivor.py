@@ -82,7 +82,10 @@ def _reach(values: DataFrame, known: DataFrame, keys: Sequence[str], stages: Sta
     At least one of the two is undated. ``keys`` include the field; ``ta`` and ``tb`` are time stamps. Paths
     double in each round, so the rounds go with the logarithm of the longest chain.
     """
-    known = known.select("field", F.col("earlier").alias("a"), F.col("later").alias("b"))
+    # relations of no undated value matter to no one
+    undated = values.filter("ts is null").select("field", "value").distinct()
+    own = lambda c: known.join(undated.withColumnRenamed("value", c), ["field", c], "left_semi").select("field", "earlier", "later")
+    known = stages.cut(own("earlier").union(own("later")).distinct().select("field", F.col("earlier").alias("a"), F.col("later").alias("b")))
     side = {c: values.select(*keys, F.col("value").alias(c), F.col("ts").alias(f"t{c}")) for c in "ab"}
     names = [*keys, "a", "b", "ta", "tb"]
     room = values.groupBy(*keys).agg(F.count("*").alias("room"))
@@ -124,7 +127,8 @@ def survivors(df: DataFrame, keys: Sequence[str], row_id: str, fields: Mapping[s
     keys = list(keys)
     df = df.dropna(subset=[*keys, row_id])
     groups = df.groupBy(*keys).agg(F.min(row_id).alias("group_id"), F.max(row_id).alias("_last")).filter("group_id < _last").drop("_last")
-    rows = long_form(df, keys, row_id, list(fields), trust, at)
+    stages = Stages(df.sparkSession, "survivor")
+    rows = stages.cut(long_form(df, keys, row_id, list(fields), trust, at))
     gf = [*keys, "field"]
     best = F.max(F.struct("trust", "ts", (-F.col("id")).alias("k")))
     values = rows.groupBy(*gf, "value").agg(best.alias("b")).select(*gf, "value", F.lower("value").alias("low"), "b.*")
@@ -132,11 +136,11 @@ def survivors(df: DataFrame, keys: Sequence[str], row_id: str, fields: Mapping[s
     rule = F.lit(False)
     for f, test in fields.items():
         rule = F.when(F.col("field") == f, F.coalesce(test(F.col("value")), F.lit(False))).otherwise(rule)
-    values = values.join(begun, [*gf, "low"], "left").withColumn("complete", ~rule & F.col("begins").isNull()).drop("begins", "low")
+    values = stages.cut(values.join(begun, [*gf, "low"], "left").withColumn("complete", ~rule & F.col("begins").isNull()).drop("begins", "low"))
 
     # a hair before or after the dated neighbour
     tick = F.expr("interval 1 microsecond")
-    reach = _reach(values, precedences(rows, keys), gf, Stages(df.sparkSession, "survivor"))
+    reach = _reach(values, precedences(rows, keys), gf, stages)
     until = reach.filter("ta is null").groupBy(*gf, F.col("a").alias("value")).agg(F.min("tb").alias("until"))
     since = reach.filter("tb is null").groupBy(*gf, F.col("b").alias("value")).agg(F.max("ta").alias("since"), F.count_if(F.col("ta").isNull()).alias("depth"))
     place = until.join(since, [*gf, "value"], "full").select(*gf, "value", F.coalesce(F.col("until") - tick, F.col("since") + tick).alias("near"), "depth")
