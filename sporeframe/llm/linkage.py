@@ -80,12 +80,18 @@ def _terms(word: Column, num: Column) -> Column:
 
 
 def _texts(rows: DataFrame) -> DataFrame:
-    """(code, t, tf, n): the terms of each distinct code over its n rows (code, sp, country)."""
-    once = rows.groupBy("code").agg(F.count("*").alias("n"))
-    codes = once.select("code", F.explode(_terms(F.col("code.word"), F.col("code.num"))).alias("t"), F.col("n").alias("tf"))
+    """(code, t, tf, n, len): the terms of each distinct code over its n rows (code, sp, country), and their number with repeats.
+
+    Codes are text, ``word|num``; the first of a code's terms is the code itself behind ``=``.
+    """
     traits = F.array_compact(F.array(F.when(~F.col("sp.g").contains("."), F.concat(F.lit("genus|"), "sp.g")), F.concat(F.lit("epithet|"), F.col("sp.e")), F.concat(F.lit("country|"), "country")))
-    traits = rows.select("code", F.explode(traits).alias("t")).groupBy("code", "t").agg(F.count("*").alias("tf"))
-    return codes.unionByName(traits).join(once, "code")
+    rows = rows.select(F.concat_ws("|", "code.word", "code.num").alias("code"), traits.alias("traits"))
+    once = rows.groupBy("code").agg(F.count("*").alias("n"), F.sum(F.size("traits")).alias("more"))
+    once = once.withColumn("ts", _terms(F.substring_index("code", "|", 1), F.substring_index("code", "|", -1)))
+    once = once.select("code", "n", "ts", (F.col("n") * F.size("ts") + F.col("more")).alias("len"))
+    codes = once.select("code", F.explode("ts").alias("t"), F.col("n").alias("tf"), "n", "len")
+    seen = rows.select("code", F.explode("traits").alias("t")).groupBy("code", "t").agg(F.count("*").alias("tf"))
+    return codes.unionByName(seen.join(once.select("code", "n", "len"), "code"))
 
 
 def retrieve(left: DataFrame, right: DataFrame, stages: Stages, floor: float = FLOOR, near: float = NEAR) -> DataFrame:
@@ -95,13 +101,12 @@ def retrieve(left: DataFrame, right: DataFrame, stages: Stages, floor: float = F
     the floor and ``near`` of its best score may be missing, no others.
     """
     index = stages.cut(_texts(right))
-    size = index.groupBy("code").agg(F.sum("tf").alias("len"))
-    n, avg = size.agg(F.count("*"), F.avg("len")).first()
+    n, avg = index.filter("t = concat('=', code)").agg(F.count("*"), F.avg("len")).first()
     avg = avg or 1.0
     df = index.groupBy("t").agg(F.count("*").alias("df"))
     rarity = lambda df: F.log(1 + (n - df + 0.5) / (df + 0.5))
     tf = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / avg))
-    post = stages.cut(index.join(size, "code").join(df, "t").select(F.col("code").alias("rc"), "t", (rarity(F.col("df")) * tf).alias("w")))
+    post = stages.cut(index.join(df, "t").select(F.col("code").alias("rc"), "t", (rarity(F.col("df")) * tf).alias("w")))
     # a term that the index lacks still counts for the own score
     bound = post.groupBy("t").agg(F.max("w").alias("most"))
     asked = _texts(left).select(F.col("code").alias("lc"), "t", (F.col("tf") / F.col("n")).alias("q")).join(bound, "t", "left")
@@ -119,7 +124,9 @@ def retrieve(left: DataFrame, right: DataFrame, stages: Stages, floor: float = F
     # what the probes found and the most that the other terms could add
     pairs = probes.join(post, "t").groupBy("lc", "rc", "least", "rest").agg(F.sum(F.col("q") * F.col("w")).alias("part")).filter("part + rest >= least - 1e-6")
     terms = pairs.select("lc", "rc", "least").join(known.select("lc", "t", "q", "self"), "lc").join(post, ["rc", "t"])
-    return terms.groupBy("lc", "rc", "self", "least").agg(score.alias("score")).filter("score >= least - 1e-6").select("lc", "rc", "score", F.col("self").alias("lself"))
+    got = terms.groupBy("lc", "rc", "self", "least").agg(score.alias("score")).filter("score >= least - 1e-6")
+    parts = lambda c: F.struct(F.substring_index(c, "|", 1).alias("word"), F.substring_index(c, "|", -1).alias("num")).alias(c)
+    return got.select(parts("lc"), parts("rc"), "score", F.col("self").alias("lself"))
 
 
 def _fit(pairs: DataFrame, steps: int = 12, ridge: float = 1.0) -> list[float]:
