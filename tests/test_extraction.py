@@ -8,6 +8,7 @@ from sporeframe.functions import tokens as K
 from sporeframe.operators import articletables as A
 from sporeframe.operators import matrix, places, specimens
 
+# Forms that each predicate must accept (first) or refuse.
 TOKENS = {
     "is_accession": (["KC136220", "JX093771.1", "MF977778a", "(JQ087932*)", "U12345"], ["He 592", "KC13622", "ABC123456", ""]),
     "is_accession_or_dash": (["–", "---", "KC136220", "ITS KC136220 x"], ["KC136220 KC136221", "none"]),
